@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import byte_bpe, frames, line_dedup, quality_rules, token_counts
+from quillon.llm import byte_bpe, decontaminate, frames, line_dedup, quality_rules, sharding, simhash, substring_dedup, token_counts
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -30,11 +30,28 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, lanes=1, limit=3)
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents only: doc_id, item_id and the coverage of the item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rated.select("doc_id", *quality_rules.STATS, "base_failed", "kept")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so that every call does the whole work."""
     cache = frames.scratch(spark, "token-counts")
@@ -42,7 +59,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_byte_bpe, op7_quality_rules, op9_token_counts)
+    f.__name__: f for f in (op2_line_dedup, op3_byte_bpe, op4_simhash, op5_decontaminate, op6_substring_dedup, op7_quality_rules, op8_sharding, op9_token_counts)
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -84,6 +84,19 @@ class Block:
         ends = np.flatnonzero(inside & ~after) + 1
         return starts, ends, np.searchsorted(self.off, starts, side="right") - 1
 
+    def joined(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of ``data`` (this block's bytes or their lower case), each followed by one blank, with new starts, ends and documents."""
+        starts, ends, docs = self.words()
+        new_ends = np.cumsum(ends - starts + 1)
+        new_starts = new_ends - (ends - starts) - 1
+        step = np.ones(int(new_ends[-1]) if len(new_ends) else 0, np.int64)
+        if len(step):
+            step[0] = starts[0]
+            step[new_starts[1:]] = starts[1:] - ends[:-1]
+        out = data[np.minimum(np.cumsum(step), max(len(data) - 1, 0))]
+        out[new_ends - 1] = 32
+        return out, new_starts, new_ends - 1, docs
+
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and document of every \\n-separated line; an empty text is one empty line."""
         breaks = self.data == 10
