@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import byte_bpe, decontaminate, frames, line_dedup, quality_rules, sharding, simhash, substring_dedup, token_counts
+from quillon.llm import byte_bpe, chat_format, decontaminate, frames, line_dedup, quality_rules, secret_scan, sharding, simhash, substring_dedup, token_counts
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -18,6 +18,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What the exchanges of `conversations` have to satisfy.
+REPLY = {"reply": {"type": "object", "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 2000}, "turn": {"type": "integer", "minimum": 0}}, "required": ["prompt", "turn"], "additionalProperties": False}}
+
+
+def exchanges(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`conversations` as calls and results: a user turn calls ``reply``, the assistant turn after it is the result.
+
+    Every later call of a conversation waits for its first one.
+    """
+    rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    name = lambda turn: F.concat(F.lit("c"), turn.cast("string"))
+    users = rows.filter("role = 'user'")
+    first = users.groupBy("conv_id").agg(F.min("turn").alias("_first"))
+    calls = users.join(first, "conv_id", "left").select(
+        "conv_id", "turn", F.lit(0).alias("seq"), name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("prompt"), "turn")).alias("arguments"),
+        F.when(F.col("turn") > F.col("_first"), F.array(name(F.col("_first")))).otherwise(F.array().cast("array<string>")).alias("after"),
+    )
+    results = rows.filter("role = 'assistant'").select("conv_id", "turn", F.lit(0).alias("seq"), name(F.col("turn") - 1).alias("call_id"), F.to_json(F.struct("text")).alias("content"))
+    return calls, results
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every exchange of `conversations` linked, ordered, validated and serialised."""
+    linked = chat_format.link(*exchanges(table(spark, sf_dir, "conversations")), REPLY)
+    return linked.select("conv_id", "call_id", "turn", "result_turn", "status", "level", F.size("errors").alias("n_errors"), F.sha2("canonical_json", 256).alias("json_sha256"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs, min_docs=10)
@@ -58,8 +86,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), cache)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of `documents` with the forest's score; trained on the built-in labelled findings."""
+    model = secret_scan.train(secret_scan.seed_findings(spark))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_byte_bpe, op4_simhash, op5_decontaminate, op6_substring_dedup, op7_quality_rules, op8_sharding, op9_token_counts)
+    f.__name__: f for f in (op1_chat_format, op2_line_dedup, op3_byte_bpe, op4_simhash, op5_decontaminate, op6_substring_dedup, op7_quality_rules, op8_sharding, op9_token_counts, op10_secret_scan)
 }
 
 #: DuckDB SQL for the queries that SQL can express.
