@@ -61,7 +61,7 @@ def input_contracts(runs: DataFrame, models: DataFrame) -> DataFrame:
     sources (array; 'any' takes all).  An unknown model warns.
     """
     j = runs.join(models.withColumn("_known", F.lit(True)), "model", "left")
-    bad = lambda cond, rule, text: finding(j.filter(F.coalesce(cond, F.lit(False))), "error", rule, F.concat_ws(" ", F.col("model"), F.lit(text)), F.col("run_id"))
+    bad = lambda cond, rule, text: finding(j.filter(F.col("_known") & F.coalesce(cond, F.lit(False))), "error", rule, F.concat_ws(" ", F.col("model"), F.lit(text)), F.col("run_id"))
     return together(
         finding(j.filter("_known IS NULL"), "warn", "model", F.concat(F.lit("unknown model "), "model"), F.col("run_id")),
         bad(F.col("n_features") < F.coalesce("min_features", F.lit(1)), "min_features", "needs more features"),
