@@ -12,6 +12,7 @@ def windowed_counts(events: DataFrame, ts: str = "ts", kind: str = "event_type",
     On a stream, rows later than ``late`` behind the newest are dropped and
     state of closed windows is freed.
     """
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     if events.isStreaming:
         events = events.withWatermark(ts, late)
     out = events.groupBy(F.window(ts, window).alias("w"), kind).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
@@ -20,6 +21,7 @@ def windowed_counts(events: DataFrame, ts: str = "ts", kind: str = "event_type",
 
 def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Runs of a user's events without a pause of ``gap``; batch or stream."""
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     if events.isStreaming:
         events = events.withWatermark(ts, late)
     out = events.groupBy(F.session_window(ts, gap).alias("s"), user).agg(F.count("*").alias("n"))
