@@ -77,7 +77,7 @@ def read_verdicts(spark: SparkSession, roots: Sequence[str], folder: str = "resu
 
     Files of denied names, hidden prefixes or shard parts are left out.
     """
-    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("wholetext", True).text(list(roots)).withColumn("source_path", F.col("_metadata.file_path"))
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(list(roots), wholetext=True).withColumn("source_path", F.col("_metadata.file_path"))
     parts = F.split("source_path", "/")
     rows = rows.withColumns({"file": F.element_at(parts, -1), "folder": F.element_at(parts, -2), "study": F.element_at(parts, -3)}).filter(F.col("folder") == folder)
     for p in skip_prefix:
@@ -154,7 +154,7 @@ def first_valid(candidates: DataFrame, key: str, order: str, text: str = "text")
 
 def scrape_logs(spark: SparkSession, path: str, patterns: dict[str, str]) -> DataFrame:
     """One row for each log file: the last match of each pattern's first group."""
-    rows = spark.read.option("wholetext", True).text(path).withColumn("file", F.col("_metadata.file_name"))
+    rows = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
     return rows.select("file", *[last_match(F.col("value"), p).alias(n) for n, p in patterns.items()])
 
 

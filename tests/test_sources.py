@@ -64,7 +64,7 @@ def test_small_readers(spark, tmp_path):
     assert [tuple(r) for r in files.scrape_logs(spark, str(tmp_path / "logs"), {"acc": "acc=([0-9]+)"}).collect()] == [("r.log", "2")]
     listed = files.listing(spark, str(tmp_path / "logs"))
     assert [r["name"] for r in listed.collect()] == ["r.log"]
-    assert [r["kind"] for r in files.classify_outputs(listed, {"log_only": "r.log"}).collect()] == ["log_only"]
+    assert [r["kind"] for r in files.classify_outputs(listed, {"r.log": "log_only"}).collect()] == ["log_only"]
     cond = spark.createDataFrame([("k", json.dumps({"splits": {"test": {"conditioned_metrics": [{"filter": "hi", "metric": "f1", "value": 0.5}, {"filter": "lo", "metric": "f1", "value": 0.1}]}}}))], "k string, text string")
     assert [tuple(r) for r in files.conditioned_metrics(cond, "k", "hi").collect()] == [("k", "f1", 0.5)]
     side = spark.createDataFrame([("a", 0, "{"), ("a", 1, "{}"), ("b", 0, "{}")], "k string, o int, text string")
