@@ -13,28 +13,23 @@ the result never changes.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm import frames
+from quillon.llm import bloom, frames
 from quillon.llm.text_blocks import Block, blocks
 
-#: Bits of each Bloom filter; one byte a bit while a task fills it, packed elsewhere.
+#: Bits of each Bloom filter.
 FILTER_BITS = 1 << 25
-#: Filters move in pages of this many bits.
-PAGE_BITS = 1 << 19
 #: Confirmed keys up to this many bytes in all go to every executor; beyond that they are joined.
 BROADCAST_BYTES = 32 << 20
 #: The documented floor of tasks that fill filters: each holds one pair.
 BUILD_TASKS = 12
 
 _COUNTS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("first_doc", T.LongType())])
-_PAGES = T.StructType([T.StructField("page", T.IntegerType()), T.StructField("once", T.BinaryType()), T.StructField("twice", T.BinaryType())])
 
 
 class _Lines:
@@ -61,61 +56,17 @@ class _Lines:
         return np.sort(order[new])
 
 
-def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = hashes & np.uint64(bits - 1)
-    return low.astype(np.int64), ((hashes >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
-
-
-def _repeat_filter(docs: DataFrame, bits: int) -> bytes:
-    """The merged filter of line keys that at least two documents have, packed."""
-    spark = docs.sparkSession
-
-    def fill(batches):
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
-        for batch in batches:
-            for block in blocks(batch.column(0)):
-                lines = _Lines(block)
-                h, n = np.unique(lines.hashes[lines.once_a_doc()], return_counts=True)
-                a, b = _slots(h, bits)
-                again = (once[a] & once[b]) | (n > 1)
-                twice[a[again]] = twice[b[again]] = True
-                once[a] = once[b] = True
-        for page in range(max(1, bits // PAGE_BITS)):
-            part = slice(page * PAGE_BITS, (page + 1) * PAGE_BITS)
-            if once[part].any():
-                yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [np.packbits(once[part]).tobytes()], "twice": [np.packbits(twice[part]).tobytes()]})
-
-    def merge(batches):
-        pages: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                once, twice = np.frombuffer(row["once"], np.uint8), np.frombuffer(row["twice"], np.uint8)
-                have = pages.get(row["page"])
-                pages[row["page"]] = [once, twice] if have is None else [have[0] | once, have[1] | twice | (have[0] & once)]
-        for page, (once, twice) in pages.items():
-            yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [once.tobytes()], "twice": [twice.tobytes()]})
-
-    tasks = max(BUILD_TASKS, 2 * spark.sparkContext.defaultParallelism)
-    partial = docs.select("text").coalesce(tasks).mapInArrow(fill, _PAGES)
-    merged = partial.repartition(max(1, min(8, bits // PAGE_BITS)), "page").mapInArrow(merge, _PAGES)
-    packed = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("page", "twice").toLocalIterator():  # bits / 8 bytes in all
-        at = row["page"] * PAGE_BITS // 8
-        packed[at : at + len(row["twice"])] = np.frombuffer(row["twice"], np.uint8)
-    return packed.tobytes()
-
-
-def _in_filter(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    found = np.ones(len(hashes), bool)
-    for slot in _slots(hashes, len(packed) * 8):
-        found &= (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
-    return found
+def _key_hashes_of(batch: pa.RecordBatch):
+    for block in blocks(batch.column(0)):
+        lines = _Lines(block)
+        yield lines.hashes[lines.once_a_doc()]
 
 
 def repeated_keys(docs: DataFrame, min_docs: int, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, object]:
     """Line keys found in at least ``min_docs`` >= 2 documents: (key, n, first_doc), and the broadcast filter."""
     spark = docs.sparkSession
-    filt = spark.sparkContext.broadcast(_repeat_filter(docs, filter_bits))
+    tasks = max(BUILD_TASKS, 2 * spark.sparkContext.defaultParallelism)
+    filt = spark.sparkContext.broadcast(bloom.repeat_filter(docs.select("text"), _key_hashes_of, filter_bits, tasks))
 
     def suspects(batches):
         packed = np.frombuffer(filt.value, np.uint8)
@@ -125,7 +76,7 @@ def repeated_keys(docs: DataFrame, min_docs: int, filter_bits: int = FILTER_BITS
             for block in blocks(batch.column(0)):
                 lines = _Lines(block)
                 at = lines.once_a_doc()
-                for k in at[_in_filter(packed, lines.hashes[at])]:
+                for k in at[bloom.contains(packed, lines.hashes[at])]:
                     doc = ids[block.first + lines.docs[lines.keyed[k]]]
                     have = counts.setdefault(lines.key(k), [0, None])
                     have[0] += 1
@@ -204,7 +155,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_
             for block in blocks(batch.column(0)):
                 lines = _Lines(block)
                 at = lines.once_a_doc()
-                for k in at[_in_filter(packed, lines.hashes[at])]:
+                for k in at[bloom.contains(packed, lines.hashes[at])]:
                     digests.append(names[block.first + lines.docs[lines.keyed[k]]])
                     keyed.append(lines.key(k))
             if keyed:
@@ -258,8 +209,3 @@ def _key_hashes(keys: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"".join(keys), np.uint8)
     whole = Block(0, data, np.array([0, len(data)]))
     return whole.hashes(ends - np.array([len(k) for k in keys], np.int64), ends) if keys else np.zeros(0, np.uint64)
-
-
-def digest(text: str | None) -> str:
-    """What a query reports of a kept text."""
-    return hashlib.sha256((text or "").encode()).hexdigest()
