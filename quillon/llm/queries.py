@@ -96,5 +96,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_line_dedup, op3_byte_bpe, op4_simhash, op5_decontaminate, op6_substring_dedup, op7_quality_rules, op8_sharding, op9_token_counts, op10_secret_scan)
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": f"""WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+ l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM split),
+ k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),
+ hot AS (SELECT key FROM (SELECT DISTINCT doc_id, key FROM k WHERE key <> '') GROUP BY key HAVING count(*) >= 10)
+ SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+ FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY doc_id""",
+    "op6_substring_dedup": r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ p AS (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM w),
+ g AS (SELECT doc_id, i, string_agg(word, ' ') OVER s AS win, count(*) OVER s AS n FROM p WINDOW s AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+ f AS (SELECT win, min(doc_id) AS m FROM g WHERE n = 13 GROUP BY win), hit AS (SELECT g.doc_id, g.i FROM g JOIN f ON g.win = f.win WHERE g.n = 13 AND f.m < g.doc_id),
+ gone AS (SELECT DISTINCT hit.doc_id, hit.i + r.k AS i FROM hit, range(13) r(k))
+ SELECT w.doc_id, count(p.i) AS n_words, count(gone.i) AS n_removed, sha256(coalesce(string_agg(p.word, ' ' ORDER BY p.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
+ FROM w LEFT JOIN p ON w.doc_id = p.doc_id LEFT JOIN gone ON p.doc_id = gone.doc_id AND p.i = gone.i GROUP BY w.doc_id""",
+}
