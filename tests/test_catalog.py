@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+import quillon.plans.catalog_checks  # noqa: F401
 from quillon.plans.catalog import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
