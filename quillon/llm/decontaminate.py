@@ -135,11 +135,13 @@ def _matches(block: Block, items: Items, tile: int, coverage: float) -> Iterator
     t = Tokens(block)
     at, h = windows(t.hashes, t.docs, tile)
     window, item, q = items.hits(h)
+    if not len(window):
+        return
     p = at[window]
     doc = t.docs[p]
     order = np.lexsort((item, doc))
     doc, item, p, q = doc[order], item[order], p[order], q[order]
-    edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])))) if len(doc) else []
+    edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))))
     for a, b in zip(edge, [*edge[1:], len(doc)], strict=True):
         d, i = int(doc[a]), int(item[a])
         need = coverage * len(items.words[i])
