@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.scalars import require_sha256
 from quillon.functions.semantics import choose, finite, first_by, is_finite, non_empty
+from quillon.operators.ranking import global_rank
 
 # --- filter and projection --------------------------------------------------
 
@@ -111,7 +112,7 @@ def compare(records: DataFrame, metrics: Sequence[str], sort_by: str, k: int | N
     by = F.col(sort_by.split(".")[-1])
     order = [by.asc_nulls_last() if ascending else by.desc_nulls_last(), F.col(ordinal).asc()]
     if k is None:
-        out = rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        out = global_rank(rows, *order)
     else:  # k rows in all: the ranking window sees those only
         out = rows.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     return out.drop(ordinal).orderBy(*(["group"] if group_by else []), "rank")

@@ -35,7 +35,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """
     schema = T.StructType([*RECORD.fields, T.StructField("_corrupt", S)])
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return rows.withColumns({"file": F.col("_metadata.file_name"), "ordinal": F.col("_metadata.file_name")})
+    config = lambda *paths: F.coalesce(*[F.get_json_object(c, p) for c in ("training_config", "extraction_config") for p in paths])
+    derived = {"model_type": config("$.model.model_type", "$.model_type"), "labeling_strategy": config("$.data.labeling_strategy", "$.labels.strategy", "$.labeling_strategy")}
+    return rows.withColumns({"file": F.col("_metadata.file_name"), "ordinal": F.col("_metadata.file_name"), **derived})
 
 
 def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:

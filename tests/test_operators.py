@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.operators import gates, grid, identity, records, reduce, scheduling, stats, validation
+from quillon.operators import gates, grid, identity, ranking, records, reduce, scheduling, stats, validation
 from quillon.plans import analyzers
 
 
@@ -24,6 +24,12 @@ def test_compare_edges(spark):
         records.compare(df, ["m"], "n")
 
 
+def test_global_rank(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"), "id")
+    assert [r["rank"] for r in ranking.global_rank(df, F.col("v").asc()).orderBy("v").collect()] == list(range(1, 5001))
+    assert ranking.global_rank(df.limit(0), F.col("v").asc()).count() == 0
+
+
 def test_filter_truthiness(spark):
     df = spark.createDataFrame([("", None, ["x"]), ("f" * 64, 0.5, [])], "fingerprint string, f1 double, tags array<string>")
     assert records.filter_records(df, records.RecordFilter(fingerprint="")).count() == 1
