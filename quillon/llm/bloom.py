@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,11 @@ def _put(packed: np.ndarray, slots: tuple[np.ndarray, ...]) -> None:
         np.bitwise_or.at(packed, s >> 3, np.uint8(128) >> (s & 7).astype(np.uint8))
 
 
+def _page(page: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
+    """A page on its way, deflated: what one task fills is sparse."""
+    return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [zlib.compress(once, 1)], "twice": [zlib.compress(twice, 1)]})
+
+
 def contains(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash is in a packed filter."""
     return _have(packed, _slots(hashes, len(packed) * 8))
@@ -57,20 +63,21 @@ def repeat_filter(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
         for page in range(bits // 8 // page_bytes):
             part = slice(page * page_bytes, (page + 1) * page_bytes)
             if once[part].any():
-                yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [once[part].tobytes()], "twice": [twice[part].tobytes()]})
+                yield _page(page, once[part], twice[part])
 
     def merge(batches):
         pages: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for page, a, b in zip(*(batch.column(i) for i in range(3)), strict=True):
-                once, twice = np.frombuffer(a.as_py(), np.uint8), np.frombuffer(b.as_py(), np.uint8)
+                once, twice = (np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in (a, b))
                 have = pages.get(page.as_py())
                 pages[page.as_py()] = [once, twice] if have is None else [have[0] | once, have[1] | twice | (have[0] & once)]
         for page, (once, twice) in pages.items():
-            yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [once.tobytes()], "twice": [twice.tobytes()]})
+            yield _page(page, once, twice)
 
-    merged = df.coalesce(tasks).mapInArrow(fill, _PAGES).repartition(8, "page").mapInArrow(merge, _PAGES)
+    parts = max(1, min(bits // 8 // page_bytes, tasks))  # the more tasks fill, the fewer pages one merges
+    merged = df.coalesce(tasks).mapInArrow(fill, _PAGES).repartition(parts, "page").mapInArrow(merge, _PAGES)
     packed = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("page", "twice").toLocalIterator():
-        packed[row["page"] * page_bytes :][: len(row["twice"])] = np.frombuffer(row["twice"], np.uint8)
+    for row in merged.select("page", "twice").collect():
+        packed[row["page"] * page_bytes :][:page_bytes] = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
     return packed.tobytes()

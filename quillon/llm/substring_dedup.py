@@ -22,7 +22,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +42,7 @@ HELD = 100_000
 #: Hot anchors that may be broadcast; more are joined.
 BROADCAST_ROWS = 100_000
 
-_SEGMENTS = "anchor long, id binary, text binary, low long, high long"
+_SEGMENTS = "anchor long, text binary, low long, high long"
 _PLACES = "doc_id long, digest long, id binary, start int"
 _EARLIER = "id binary, offs array<int>, mins array<long>"
 
@@ -103,7 +102,7 @@ def _suspects(block: Block, packed: np.ndarray, window: int):
     spans = zip(segments.doc[use].tolist(), (first - doc_head[segments.doc[use]]).tolist(), starts[first].tolist(), ends[last].tolist(), segments.anchor[use].view(np.int64).tolist(), strict=True)
     for d, p, a, b, anchor in spans:
         text = data[a:b]
-        yield d, p, xxhash.xxh3_128_digest(text), text, anchor
+        yield d, p, segment_id(text), text, anchor
 
 
 def _segment_rows(docs: DataFrame, shared, window: int) -> DataFrame:
@@ -115,7 +114,8 @@ def _segment_rows(docs: DataFrame, shared, window: int) -> DataFrame:
 
         def flush():
             rows = list(held.values())
-            yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), pa.array(list(held), pa.binary()), pa.array([r[3] for r in rows], pa.binary()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["anchor", "id", "text", "low", "high"])
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in ((2, pa.int64()), (3, pa.binary()), (0, pa.int64()), (1, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "text", "low", "high"])
             held.clear()
 
         for batch in batches:
@@ -155,7 +155,11 @@ def _place_rows(docs: DataFrame, shared, window: int) -> DataFrame:
     return docs.select("doc_id", "text", "digest").mapInArrow(run, _PLACES)
 
 
-def _search(ids: list[bytes], texts: list[bytes], low: np.ndarray, high: np.ndarray, window: int):
+def segment_id(text: bytes) -> bytes:
+    return hashlib.md5(text, usedforsecurity=False).digest()
+
+
+def _search(texts: list[bytes], low: np.ndarray, high: np.ndarray, window: int):
     """Index the segments of a shard and stream them: for each the windows that some document before its last one has."""
     words = [t.split(b" ") for t in texts]
     lengths = np.array([len(w) for w in words])
@@ -179,7 +183,7 @@ def _search(ids: list[bytes], texts: list[bytes], low: np.ndarray, high: np.ndar
     head = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1]))) if len(segment) else np.zeros(0, np.int64)
     bounds = pa.array(np.append(head, len(segment)), pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array([ids[i] for i in segment[head]], pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(offset, pa.int32())), pa.ListArray.from_arrays(bounds, pa.array(minimum, pa.int64()))], names=["id", "offs", "mins"]
+        [pa.array([segment_id(texts[i]) for i in segment[head]], pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(offset, pa.int32())), pa.ListArray.from_arrays(bounds, pa.array(minimum, pa.int64()))], names=["id", "offs", "mins"]
     )
 
 
@@ -187,29 +191,29 @@ def _shards(segments: DataFrame, window: int) -> DataFrame:
     """The windows of each segment that an earlier document has, from one FM-index per shard."""
 
     def run(batches):
-        held: dict[bytes, list] = {}
+        held: dict[bytes, list[int]] = {}
         words, last = 0, None
 
         def close():
-            rows = list(held.values())
-            out = _search(list(held), [r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), window)
+            low, high = np.array(list(held.values())).T
+            out = _search(list(held), low, high, window)
             held.clear()
             return out
 
         for batch in batches:
             anchors = batch.column(0).to_pylist()
-            for anchor, key, text, low, high in zip(anchors, *(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            for anchor, text, low, high in zip(anchors, *(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
                 if anchor != last:  # only between anchors may a shard end
                     if words >= SHARD_WORDS:
                         yield close()
                         words = 0
                     last = anchor
-                have = held.get(key)
+                have = held.get(text)
                 if have is None:
-                    held[key] = [text, low, high]
+                    held[text] = [low, high]
                     words += text.count(b" ") + 2
                 else:
-                    have[1], have[2] = min(have[1], low), max(have[2], high)
+                    have[0], have[1] = min(have[0], low), max(have[1], high)
         if held:
             yield close()
 
@@ -220,7 +224,7 @@ def _hot_windows(segments: DataFrame, window: int) -> DataFrame:
     """The same for segments of hot anchors, window by window."""
     words = F.split(F.col("text").cast("string"), " ")
     offs = F.sequence(F.lit(0), F.size("words") - window)
-    each = segments.withColumn("words", words).select("id", "low", "high", F.posexplode(F.transform(offs, lambda i: F.concat_ws(" ", F.slice("words", i + 1, window)))).alias("off", "win"))
+    each = segments.withColumn("words", words).select(F.unhex(F.md5("text")).alias("id"), "low", "high", F.posexplode(F.transform(offs, lambda i: F.concat_ws(" ", F.slice("words", i + 1, window)))).alias("off", "win"))
     least = each.groupBy("win").agg(F.min("low").alias("m"))
     found = each.join(least, "win").filter("m < high")
     return found.select("id", F.array("off").alias("offs"), F.array("m").alias("mins"))
@@ -241,7 +245,7 @@ def earlier_windows(docs: DataFrame, window: int, filter_bits: int, hot_rows: in
     hot = frames.written(hot, "hot-anchors")
     many = hot.count()
     side = F.broadcast(hot) if many <= BROADCAST_ROWS else hot
-    found = _shards(segments.join(side, "anchor", "left_anti").select("anchor", "id", "text", "low", "high") if many else segments, window)
+    found = _shards(segments.join(side, "anchor", "left_anti").select("anchor", "text", "low", "high") if many else segments, window)
     if many:
         found = found.unionByName(_hot_windows(segments.join(side, "anchor", "left_semi"), window))
     found = frames.written(found, "earlier")
