@@ -76,10 +76,13 @@ def bootstrap_ratio(values: DataFrame, cell: Sequence[str], numerator: Column, r
 
 
 def mean_ranks(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
-    """Adds the rank of a value within its group, equal values sharing their mean rank."""
-    mine = Window.partitionBy(*by)
-    ties = F.count("*").over(Window.partitionBy(*by, value))
-    return df.withColumn(name, F.rank().over(mine.orderBy(value)) + (ties - 1) / 2)
+    """Adds the rank of a value within its group, equal values sharing their mean rank.
+
+    The first place of equal values is their rank, the last one the count of
+    rows up to them: one sorted window gives both.
+    """
+    mine = Window.partitionBy(*by).orderBy(value)
+    return df.withColumn(name, (F.rank().over(mine) + F.count("*").over(mine)) / 2)
 
 
 def spearman(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
@@ -135,7 +138,7 @@ def compare_pairs(signals: DataFrame, statistic: str = "spearman", replicates: i
 def adjust(tests: DataFrame, p: str = "p", by: Sequence[str] = (), q: str = "q") -> DataFrame:
     """Benjamini-Hochberg q over the tests of each group (the tests of one study: a small table)."""
     mine = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ranked = tests.withColumn("_rank", F.rank().over(mine.orderBy(p)) + F.count("*").over(Window.partitionBy(*by, p) if by else Window.partitionBy(p)) - 1).withColumn("_m", F.count("*").over(mine))
+    ranked = tests.withColumn("_rank", F.count("*").over(mine.orderBy(p))).withColumn("_m", F.count("*").over(mine))
     raw = F.col(p) * F.col("_m") / F.col("_rank")
     return ranked.withColumn(q, F.least(F.lit(1.0), F.min(raw).over(mine.orderBy(F.col("_rank").desc()).rangeBetween(Window.unboundedPreceding, 0)))).drop("_rank", "_m")
 
