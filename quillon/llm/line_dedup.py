@@ -145,7 +145,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_
         drop = _Everywhere(table)
         return frames.map_batches(docs, fields, lambda batch: rewrite(batch, drop), keep=docs.columns)
     # The keys of each distinct text meet by join; equal texts lose equal keys, so copies are looked up once.
-    marked = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    marked = docs.withColumn("__quillon_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
 
     def pairs(batches):
         packed = np.frombuffer(filt.value, np.uint8)
@@ -159,11 +159,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_
                     digests.append(names[block.first + lines.docs[lines.keyed[k]]])
                     keyed.append(lines.key(k))
             if keyed:
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(keyed, pa.binary())], names=["_digest", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(keyed, pa.binary())], names=["__quillon_digest", "key"])
 
-    held = marked.select("text", "_digest").mapInArrow(pairs, "_digest string, key binary").distinct()
-    per_text = held.join(keys, "key").groupBy("_digest").agg(F.collect_list(F.struct("key", "first_doc")).alias("_drop"))
-    joined = marked.join(per_text, "_digest", "left")
+    held = marked.select("text", "__quillon_digest").mapInArrow(pairs, "__quillon_digest string, key binary").distinct()
+    per_text = held.join(keys, "key").groupBy("__quillon_digest").agg(F.collect_list(F.struct("key", "first_doc")).alias("__quillon_drop"))
+    joined = marked.join(per_text, "__quillon_digest", "left")
     return frames.map_batches(joined, fields, lambda batch: rewrite(batch, _OwnColumn(batch)), keep=docs.columns)
 
 
@@ -193,7 +193,7 @@ class _OwnColumn:
     """Dropped keys that come with each row."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        rows = batch.column(batch.schema.get_field_index("_drop")).to_pylist()
+        rows = batch.column(batch.schema.get_field_index("__quillon_drop")).to_pylist()
         self.rows = [{bytes(x["key"]) for x in row or ()} for row in rows]
         self.first = {bytes(x["key"]): x["first_doc"] for row in rows for x in row or ()}
 

@@ -108,7 +108,7 @@ def fingerprints(docs: DataFrame, words: int, lanes: int, n_blocks: int = 5, agr
         return {"fp": _lists(np.concatenate(fps)), "keys": _lists(np.concatenate(keys))}
 
     long = T.ArrayType(T.LongType(), False)
-    return frames.map_batches(docs.select("doc_id", "text"), [("fp", long), ("keys", long)], run, keep=["doc_id"])
+    return frames.map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), [("fp", long), ("keys", long)], run, keep=["doc_id"])
 
 
 def _lists(x: np.ndarray) -> pa.Array:
@@ -226,18 +226,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int
 
     Fingerprints link at ``limit`` or fewer differing bits.  Left out, it is
     the distance that a shingle similarity of ``similarity`` is expected to
-    give plus 1.65 standard deviations, so that 95 % of pairs at the very edge
+    give plus 2.5 standard deviations, so that 99 % of pairs at the very edge
     link and nearly all above it.
 
     Texts without words have fingerprint zero and link like others.  Null ids:
     such rows are linked among the others but a null is never a component's
-    name unless all its ids are null (component_id null).  Repeated rows come
-    back repeated.  Other columns are not looked at.
+    name unless all its ids are null (component_id null).  Rows of one id are
+    one document and come back each.  Other columns are not looked at.
     """
     bits = 64 * lanes
     if limit is None:
         p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-        limit = int(round(bits * p + 1.65 * (bits * p * (1 - p)) ** 0.5))
+        limit = int(round(bits * p + 2.5 * (bits * p * (1 - p)) ** 0.5))
     agree = 2 if lanes == 1 else 0
     if lanes == 1 and limit > 3:
         raise ValueError("block keys find up to 3 differing bits; use more lanes")
@@ -250,6 +250,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int
         edges = edges.unionByName(nodes.join(least, "fp").select(F.col("node").alias("a"), "b"))
     joined = components(edges)
     named = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")).groupBy("fp").agg(F.min("component_id").alias("component_id"))
+    named = frames.written(named, "components")  # both sides of the join below then come straight from a shuffle, which splits a hot fingerprint
     text = F.concat(*[F.lpad(F.lower(F.hex(F.col("fp")[k])), 16, "0") for k in range(lanes)])
     return prints.select("doc_id", "fp").join(named, "fp", "left").select("doc_id", text.alias("fingerprint"), "component_id")
 
@@ -263,5 +264,5 @@ def keep_one(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int | None
     groups = near_duplicates(docs.filter("doc_id is not null"), words, lanes, limit, similarity)
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     nameless = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256))
-    left = docs.join(gone, "doc_id", "left_anti").withColumn("_nameless", nameless)
-    return left.dropDuplicates(["doc_id", "_nameless"]).select(docs.columns)
+    left = docs.join(gone, "doc_id", "left_anti").withColumn("__quillon_nameless", nameless)
+    return left.dropDuplicates(["doc_id", "__quillon_nameless"]).select(docs.columns)
