@@ -87,9 +87,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candidate of `documents` with the forest's score; trained on the built-in labelled findings."""
+    """Findings of `documents` that are left after the forest's removal of false positives; trained on the built-in labelled findings."""
     model = secret_scan.train(secret_scan.seed_findings(spark))
-    return secret_scan.scan(table(spark, sf_dir, "documents"), model)
+    return secret_scan.scan(table(spark, sf_dir, "documents"), model).filter("is_secret")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -100,6 +100,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op1_chat_format": """WITH u AS (SELECT conv_id, turn, text, 'c' || turn AS call_id, min(turn) OVER (PARTITION BY conv_id) AS first_turn FROM conversations WHERE role = 'user'),
+ a AS (SELECT conv_id, turn AS result_turn, text AS content, 'c' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
+ j AS (SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.call_id, a.call_id) AS call_id, turn, result_turn, text, content, first_turn,
+ CASE WHEN turn IS NULL THEN 'orphan' WHEN result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, CASE WHEN turn IS NULL OR length(text) BETWEEN 1 AND 2000 THEN 0 ELSE 1 END AS n_errors
+ FROM u FULL OUTER JOIN a ON u.conv_id = a.conv_id AND u.call_id = a.call_id)
+ SELECT conv_id, call_id, turn, result_turn, status, CASE WHEN turn = first_turn THEN 0 WHEN turn IS NOT NULL THEN 1 END AS level, n_errors,
+ sha256('{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE '{' || coalesce('"prompt":' || CAST(to_json(text) AS VARCHAR) || ',', '') || '"turn":' || turn || '}' END || ',"id":"' || call_id || '","name":' || CASE WHEN turn IS NULL THEN 'null' ELSE '"reply"' END
+ || ',"result":' || CASE WHEN result_turn IS NULL THEN 'null' ELSE '{' || coalesce('"text":' || CAST(to_json(content) AS VARCHAR), '') || '}' END || ',"status":"' || status || '","valid":' || CASE WHEN n_errors = 0 THEN 'true' ELSE 'false' END || '}') AS json_sha256 FROM j""",
     "op2_line_dedup": f"""WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
  l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM split),
  k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),

@@ -10,7 +10,15 @@ from llm_cases import documents, nothing, texts
 from pyspark.sql import functions as F
 from test_text_ops import LOW, WORD
 
-from quillon.llm import chat_format, components, secret_scan, sharding, simhash
+from quillon.llm import chat_format, components, frames, secret_scan, sharding, simhash
+
+def test_hash_sample(spark):
+    df = spark.range(20_000).withColumn("x", F.col("id") % 7)
+    one, two = (sorted(r["id"] for r in frames.hash_sample(d, ["id", "x"], 500).collect()) for d in (df, df.repartition(13)))
+    assert one == two and len(one) == 500
+    assert frames.hash_sample(df.limit(10), ["id"], 500).count() == 10
+    assert frames.hash_sample(df.limit(0), ["id"], 500).count() == 0
+
 
 # --- components -------------------------------------------------------------
 

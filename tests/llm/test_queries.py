@@ -23,6 +23,8 @@ CONTRACT = {
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir):
+    if name == "op10_secret_scan":  # the smallest table holds no secret
+        sf_dir = sf_dir.replace("0.001", "0.01")
     df = QUERIES[name](spark, sf_dir)
     assert CONTRACT[re.match(r"op\d+", name)[0]] <= set(df.columns)
     rows = df.collect()
@@ -30,11 +32,12 @@ def test_query(name, spark, sf_dir):
     if name not in ORACLES:
         return
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     rel = con.execute(ORACLES[name])
     names = [d[0] for d in rel.description]
     assert sorted(names) == sorted(df.columns)
-    assert sorted(tuple(r) for r in rel.fetchall()) == sorted(tuple(r[c] for c in names) for r in rows)
+    assert sorted(map(repr, rel.fetchall())) == sorted(repr(tuple(r[c] for c in names)) for r in rows)
 
 
 def test_pipeline(spark, sf_dir):
