@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -43,6 +44,20 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def hash_sample(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows, the same ones however the table is partitioned: those of smallest key hashes.
+
+    A bound on the hash leaves about that many before any row is moved, so no
+    task hands on more than its part.
+    """
+    n = df.count()
+    h = F.xxhash64(*keys)
+    if n > rows:
+        share = (rows + 6 * rows**0.5) / n  # the limit below is what bounds
+        df = df.filter(h < F.lit(int(-(2**63) + min(1.0, share) * 2**64) if share < 1 else 2**63 - 1))
+    return df.orderBy(h, *keys).limit(rows)
+
+
 def map_batches(
     df: DataFrame,
     fields: Sequence[tuple[str, T.DataType]],

@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm import frames
+
 MIN_LENGTH = 16
 CORE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -118,9 +120,8 @@ def seed_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionary: tuple[str, ...] = DICTIONARY) -> RandomForestClassificationModel:
     """A forest from labelled findings (core, word, before, after, label): at most ``sample_rows`` of them, by hash."""
-    # the limit is the documented bound of the training sample
     rows = labelled.filter("label is not null and core is not null").fillna("", ["word", "before", "after"])
-    rows = rows.orderBy(F.xxhash64("core", "before", "after"), "label").limit(sample_rows)
+    rows = frames.hash_sample(rows, ["core", "before", "after", "label"], sample_rows)
     vectors = _vectors(with_features(rows, dictionary)).select("features", F.col("label").cast("double").alias("label"))
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(vectors)
 
