@@ -97,7 +97,8 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, limit: int = 4096)
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("content_digest"))
     stored = _stored(spark, cache_path).filter(F.col("tokenizer_digest") == version)
-    misses = keyed.select("content_digest", "text").join(stored, "content_digest", "left_anti").dropDuplicates(["content_digest"])
+    distinct = keyed.select("content_digest", "text").dropDuplicates(["content_digest"])  # each task sends a text once
+    misses = distinct.join(stored, "content_digest", "left_anti")
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
@@ -114,5 +115,6 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, limit: int = 4096)
     fresh = frames.map_batches(misses, [("tokenizer_digest", T.StringType()), ("n_tokens", T.LongType())], run, keep=["content_digest"])
     fresh.write.mode("append").parquet(cache_path)
     counts = _stored(spark, cache_path).filter(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = frames.written(counts, "known-counts")  # both sides of the join then come straight from a shuffle, which splits a hot text
     small = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content_digest"))
     return small.join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
