@@ -22,16 +22,21 @@ def components(edges: DataFrame) -> DataFrame:
     step is written to the shared folder.  Self-loops, repeated edges and an
     empty table are allowed.
     """
+    spark = edges.sparkSession
     now = frames.written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while (state := _state(now)) != before and state[0]:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.greatest("b", "m").alias("x"), F.col("m"), "a").select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        last, now = now, frames.written(small, "edges")
-        frames.forget(edges.sparkSession, last)
+        # Minima are written, so that both sides of a join come straight from a shuffle and a node with many edges is split.
+        least = frames.written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        large = frames.written(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "large")
+        lower = frames.written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
+        met = large.join(lower, "a").select("a", F.greatest("b", "m").alias("x"), "m")
+        small = met.select(F.explode(F.array(pair("x", "m"), pair("a", "m"))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        old, now = [now, least, large, lower], frames.written(small, "edges")
+        for table in old:
+            frames.forget(spark, table)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
