@@ -13,6 +13,8 @@ the result never changes.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +31,7 @@ BROADCAST_BYTES = 32 << 20
 #: The documented floor of tasks that fill filters: each holds one pair.
 BUILD_TASKS = 12
 
-_COUNTS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("first_doc", T.LongType())])
+_COUNTS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("words", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("first_doc", T.LongType())])
 
 
 class _Lines:
@@ -55,6 +57,12 @@ class _Lines:
         new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
         return np.sort(order[new])
 
+    def digests(self) -> list[bytes]:
+        """A digest of the words of each document, alike for texts that differ in white space or case of A-Z only."""
+        joined, starts, ends, docs = self.block.joined(self.low)
+        cuts = np.searchsorted(docs, np.arange(self.block.docs + 1)).tolist()
+        return [hashlib.blake2b(joined[starts[a] : ends[b - 1]] if b > a else b"", digest_size=16).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
 
 def _key_hashes_of(batch: pa.RecordBatch):
     for block in blocks(batch.column(0)):
@@ -62,8 +70,11 @@ def _key_hashes_of(batch: pa.RecordBatch):
         yield lines.hashes[lines.once_a_doc()]
 
 
-def repeated_keys(docs: DataFrame, min_docs: int, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, object]:
-    """Line keys found in at least ``min_docs`` >= 2 documents: (key, n, first_doc), and the broadcast filter."""
+def repeated_keys(docs: DataFrame, min_docs: int, filter_bits: int = FILTER_BITS, copies_once: bool = False) -> tuple[DataFrame, object]:
+    """Line keys found in at least ``min_docs`` >= 2 documents: (key, n, first_doc), and the broadcast filter.
+
+    ``copies_once`` counts documents of the same words as one.
+    """
     spark = docs.sparkSession
     tasks = max(BUILD_TASKS, 2 * spark.sparkContext.defaultParallelism)
     filt = spark.sparkContext.broadcast(bloom.repeat_filter(docs.select("text"), _key_hashes_of, filter_bits, tasks))
@@ -71,24 +82,28 @@ def repeated_keys(docs: DataFrame, min_docs: int, filter_bits: int = FILTER_BITS
     def suspects(batches):
         packed = np.frombuffer(filt.value, np.uint8)
         for batch in batches:
-            counts: dict[bytes, list[int | None]] = {}
+            counts: dict[tuple[bytes, bytes | None], list[int | None]] = {}
             ids = batch.column(1).to_pylist()
             for block in blocks(batch.column(0)):
                 lines = _Lines(block)
                 at = lines.once_a_doc()
+                words = lines.digests() if copies_once else [None] * block.docs
                 for k in at[bloom.contains(packed, lines.hashes[at])]:
-                    doc = ids[block.first + lines.docs[lines.keyed[k]]]
-                    have = counts.setdefault(lines.key(k), [0, None])
+                    place = lines.docs[lines.keyed[k]]
+                    doc = ids[block.first + place]
+                    have = counts.setdefault((lines.key(k), words[place]), [0, None])
                     have[0] += 1
                     have[1] = doc if have[1] is None else have[1] if doc is None else min(have[1], doc)
             if counts:
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([x[0] for x in counts.values()], pa.int64()), pa.array([x[1] for x in counts.values()], pa.int64())], names=_COUNTS.names)
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in counts], pa.binary()), pa.array([w for _, w in counts], pa.binary()), pa.array([x[0] for x in counts.values()], pa.int64()), pa.array([x[1] for x in counts.values()], pa.int64())], names=_COUNTS.names)
 
     found = docs.select("text", F.col("doc_id").cast("long")).mapInArrow(suspects, _COUNTS)
+    if copies_once:  # copies meet by key and words, so a line that very many texts have is no large group
+        found = found.groupBy("key", "words").agg(F.lit(1).cast("long").alias("n"), F.min("first_doc").alias("first_doc"))
     return found.groupBy("key").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc")).filter(F.col("n") >= min_docs), filt
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_bits: int = FILTER_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_bits: int = FILTER_BITS, broadcast_bytes: int = BROADCAST_BYTES, copies_once: bool = False) -> DataFrame:
     """Drop lines whose key stands in at least ``min_docs`` documents.
 
     ``keep='none'`` drops all of them; ``keep='first'`` leaves the first such
@@ -97,13 +112,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", filter_
 
     Null or empty text is one empty line and comes back as it was (null stays
     null).  Lines of white space only have no key and stay.  Repeated rows are
-    documents of their own: each counts.  A null doc_id is never the first.
+    documents of their own: each counts, unless ``copies_once`` counts all
+    documents of the same words (case of A-Z aside) as one.  A null doc_id is
+    never the first.
     Input columns named n_lines or n_dropped are replaced; others are carried.
     """
     if min_docs < 2 or keep not in ("none", "first"):
         raise ValueError("min_docs must be at least 2, keep 'none' or 'first'")
     spark = docs.sparkSession
-    keys, filt = repeated_keys(docs, min_docs, filter_bits)
+    keys, filt = repeated_keys(docs, min_docs, filter_bits, copies_once)
     keys = frames.written(keys, "line-keys")
     size = keys.agg(F.sum(F.length("key") + 64)).first()[0] or 0
     keep_first = keep == "first"

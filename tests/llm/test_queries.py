@@ -71,3 +71,17 @@ def test_pipeline(spark, sf_dir):
     assert {r["doc_id"] for r in last.collect()} == left and len(left) < n
     assert {r["doc_id"] for r in pipeline.run(spark, sf_dir).select("doc_id").collect()} == left
     assert len(pipeline.STAGES) == 5
+
+
+def test_pipeline_copies_keep_their_text(spark, sf_dir):
+    """Of 12 copies of a clean text one survives with its text; a line that ten different texts share goes."""
+    import corpus_pipeline as pipeline
+
+    stages = dict(pipeline.STAGES)
+    clean = "\n".join(" ".join(f"c{i}x{j}" for j in range(12)) for i in range(6))
+    rows = [clean] * 11 + [clean.upper() + " \n"] + [f"shared notice\n{' '.join(f't{i}x{j}' for j in range(30))}" for i in range(10)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(rows)], "doc_id long, text string, n_chars long").repartition(3)
+    lined = stages["line_dedup"](spark, docs, sf_dir)
+    assert {r["doc_id"]: r["text"] for r in lined.collect()} == {i: t.removeprefix("shared notice\n") for i, t in enumerate(rows)}
+    left = {r["doc_id"]: r["text"] for r in stages["near_dedup"](spark, lined, sf_dir).collect()}
+    assert left == {0: clean, **{i: rows[i].removeprefix("shared notice\n") for i in range(12, 22)}}
