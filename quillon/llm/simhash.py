@@ -10,16 +10,21 @@ compared.  A bucket hands on a spanning forest of its links, not all links.
 Buckets: for 64-bit fingerprints every choice of agreeing blocks, which loses
 no pair (``blocks`` - ``agree`` blocks may differ); for wide fingerprints, whose
 limit is too large for blocks, bands of word-shingle minima, which find a pair
-of similarity 0.8 with probability 0.998.
+of similarity 0.8 with probability 0.99997.
+
+Near-dedup by similarity takes the bands' buckets as candidates only: each link
+is confirmed by the exact Jaccard similarity of the two shingle sets.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +36,10 @@ from quillon.llm.text_blocks import Block, blocks, mix64
 
 #: Rows of a bucket compared in one task; larger buckets are cut into tiles of which every two meet.
 TILE_ROWS = 8192
+#: Shingles of a bucket compared in one task where links are confirmed; tiles likewise.
+TILE_SHINGLES = 1 << 21
 PIVOTS = 24
-BANDS, BAND_ROWS = 16, 5
+BANDS, BAND_ROWS = 20, 4
 #: Shingles whose bits are counted together.
 _CHUNK = 1 << 15
 
@@ -92,23 +99,41 @@ def block_keys(fp: np.ndarray, n_blocks: int, agree: int) -> np.ndarray:
     return np.stack([mix64(mix64(fp & np.uint64(m)) + np.uint64(k)) for k, m in enumerate(chosen)], axis=1)
 
 
-def fingerprints(docs: DataFrame, words: int, lanes: int, n_blocks: int = 5, agree: int = 2) -> DataFrame:
-    """doc_id, fp (array of ``lanes`` longs, 64 bits each) and bucket keys of each document.
+def shingle_sets(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each document in ascending order, and how many each has."""
+    doc = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((hashes, doc))
+    h, d = hashes[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+    return h[new], np.bincount(d[new], minlength=len(count))
+
+
+def fingerprints(docs: DataFrame, words: int, lanes: int, n_blocks: int = 5, agree: int = 2, keep: tuple[str, ...] = (), sets: bool = False) -> DataFrame:
+    """doc_id, the columns of ``keep``, fp (array of ``lanes`` longs, 64 bits each) and bucket keys of each document.
 
     One lane: XXH64 itself, block keys.  More lanes: the hash mixed anew for each lane, band keys.
+    ``sets`` adds digest and size of the shingle set.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        fps, keys = [], []
+        fps, keys, digests, sizes = [], [], [], []
         for block in blocks(batch.column(batch.schema.get_field_index("text"))):
             hashes, count = shingle_hashes(block, words)
+            if sets:
+                distinct, size = shingle_sets(hashes, count)
+                cuts = np.concatenate(([0], np.cumsum(size))).tolist()
+                digests += [hashlib.blake2b(distinct[a:b], digest_size=16).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                sizes.append(size)
             lane = [majority_bits(hashes if k == 0 else mix64(hashes + np.uint64(k)), count) for k in range(lanes)]
             fps.append(np.stack(lane, axis=1))
             keys.append(block_keys(lane[0], n_blocks, agree) if lanes == 1 else band_keys(hashes, count))
-        return {"fp": _lists(np.concatenate(fps)), "keys": _lists(np.concatenate(keys))}
+        out = {"fp": _lists(np.concatenate(fps)), "keys": _lists(np.concatenate(keys))}
+        return out | {"digest": digests, "size": np.concatenate(sizes)} if sets else out
 
     long = T.ArrayType(T.LongType(), False)
-    return frames.map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), [("fp", long), ("keys", long)], run, keep=["doc_id"])
+    fields = [("fp", long), ("keys", long)] + ([("digest", T.BinaryType()), ("size", T.LongType())] if sets else [])
+    return frames.map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep), fields, run, keep=["doc_id", *keep])
 
 
 def _lists(x: np.ndarray) -> pa.Array:
@@ -221,23 +246,144 @@ def links(nodes: DataFrame, limit: int, tile_rows: int = TILE_ROWS) -> DataFrame
     return shuffled.mapInArrow(_bucket_links(limit), "a long, b long")
 
 
+def similar_forest(flat: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """A spanning forest of the links (Jaccard similarity of at least ``similarity``) among non-empty sets, as an array of parents.
+
+    ``flat`` holds the sets one after the other.  Rows are ordered by size;
+    each is held against the larger ones that are not too large and not yet in
+    its tree, by counting how many of their members it has.
+    """
+    order = np.argsort(sizes, kind="stable")
+    begin = np.cumsum(sizes) - sizes
+    size = sizes[order].astype(np.int64)
+    off = np.concatenate(([0], np.cumsum(size)))
+    moved = np.repeat(begin[order] - off[:-1], size) + np.arange(off[-1])
+    values, ids = np.unique(flat[moved], return_inverse=True)
+    past = np.searchsorted(size, size / similarity + 1e-9, side="right")
+    tree = np.arange(len(size))
+    mark = np.zeros(len(values), np.uint8)
+    for i in range(len(size)):
+        rows = i + 1 + np.flatnonzero(tree[i + 1 : past[i]] != tree[i])
+        if not len(rows):
+            continue
+        mine = ids[off[i] : off[i + 1]]
+        mark[mine] = 1
+        if 2 * len(rows) > past[i] - i:
+            starts = off[i + 1 : past[i]]
+            shared = np.add.reduceat(mark[ids[starts[0] : off[past[i]]]], starts - starts[0], dtype=np.int64)[rows - i - 1]
+        else:
+            n = size[rows]
+            starts = np.cumsum(n) - n
+            shared = np.add.reduceat(mark[ids[np.repeat(off[rows] - starts, n) + np.arange(n.sum())]], starts, dtype=np.int64)
+        mark[mine] = 0
+        near = rows[shared >= similarity * (size[rows] + size[i] - shared) - 1e-9]
+        if len(near):
+            met = np.unique(np.append(tree[near], tree[i]))
+            tree[np.isin(tree, met)] = met[0]
+    out = np.empty(len(size), np.int64)
+    out[order] = order[tree]
+    return out
+
+
+def _similar_links(similarity: float):
+    """For sorted (key, tile, node, shingles) rows: edges (a, b) of the forests of each bucket, one bucket in memory at a time."""
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def bucket(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        node, sizes, flat = (np.concatenate([r[k] for r in rows]) for k in range(3))
+        up = similar_forest(flat, sizes, similarity) if len(node) > 1 else np.zeros(1, np.int64)
+        linked = up != np.arange(len(node))
+        if linked.any():
+            yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[up[linked]])], schema=fields)
+
+    def run(batches):
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, tile, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            sizes = pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+            off = np.concatenate(([0], np.cumsum(sizes)))
+            edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]))))
+            for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
+                if (key[a], tile[a]) != last:
+                    yield from bucket(held) if held else ()
+                    held, last = [], (key[a], tile[a])
+                held.append((node[a:b].copy(), sizes[a:b], flat[off[a] : off[b]].copy()))
+        yield from bucket(held) if held else ()
+
+    return run
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float, tile_rows: int = TILE_ROWS, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """Edges (a, b) that connect what pairs of ``similarity`` and more connect, of nodes (node, at, keys, size).
+
+    ``docs``: doc_id, text and its hash, by which the row of a node is found
+    (``at``: id and hash).  Of buckets with the same members one is looked at;
+    large ones are dealt into tiles as in :func:`links`.  Only documents of
+    shared buckets are shingled again, and their sets alone go to the buckets.
+    """
+    rows = nodes.filter("size > 0").select("node", "size", F.explode("keys").alias("key"))
+    member = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in range(2)]
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), *member).filter("n > 1")
+    shared = shared.groupBy("n", "total", "h0", "h1").agg(F.min("key").alias("key"))
+    tiles = F.ceil(F.greatest(F.col("n") / tile_rows, F.col("total") / tile_shingles)).cast("int")
+    dealt = rows.join(shared.select("key", tiles.alias("tiles")), "key")
+    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda other: F.least(other, mine) * F.col("tiles") + F.greatest(other, mine))
+    places = dealt.groupBy("node").agg(F.flatten(F.collect_list(F.transform(meets, lambda tile: F.struct("key", tile.alias("tile"))))).alias("places"))
+    found = nodes.select("node", "at.doc_id", "at.hash").join(places, "node")
+    source = docs.alias("d").join(found.alias("f"), F.col("d.hash").eqNullSafe(F.col("f.hash")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "places", "text")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        made = []
+        for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+            distinct, size = shingle_sets(*shingle_hashes(block, words))
+            off = np.concatenate(([0], np.cumsum(size)))
+            made.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(distinct.view(np.int64))))
+        return {"shingles": pa.concat_arrays(made)}
+
+    sets = frames.map_batches(source, [("shingles", T.ArrayType(T.LongType(), False))], run, keep=["node", "places"])
+    sent = sets.select("node", "shingles", F.explode("places").alias("p")).select("p.key", "p.tile", "node", "shingles")
+    return sent.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(_similar_links(similarity), "a long, b long")
+
+
+def _similar(docs: DataFrame, words: int, lanes: int, similarity: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of ``docs``, and the component of each shingle set: (digest, component_id)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    prints = fingerprints(docs, words, lanes, keep=("hash",), sets=True).withColumn("row", F.monotonically_increasing_id())
+    prints = frames.written(prints, "fingerprints")
+    # One node for each shingle set, named apart from the ids; copies stop here.
+    at = F.struct("doc_id", "hash")
+    nodes = prints.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.min(F.when(F.col("doc_id").isNotNull(), at)).alias("named"), F.min(at).alias("any"), F.min("keys").alias("keys"), F.min("size").alias("size"))
+    nodes = frames.written(nodes.select("digest", "node", "least", F.coalesce("named", "any").alias("at"), "keys", "size"), "nodes")
+    joined = components(similar_links(docs, nodes, words, similarity, tile_rows))
+    member = frames.written(nodes.join(joined, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component")), "members")
+    least = frames.written(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
+    return prints, member.join(least, "component").select("digest", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int | None = None, similarity: float = 0.8, tile_rows: int = TILE_ROWS) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (the smallest doc_id that links reach, its own included).
 
-    Fingerprints link at ``limit`` or fewer differing bits.  Left out, it is
-    the distance that a shingle similarity of ``similarity`` is expected to
-    give plus 2.5 standard deviations, so that 99 % of pairs at the very edge
-    link and nearly all above it.
+    Fingerprints link at ``limit`` or fewer differing bits.  Left out, texts
+    link whose sets of shingles have a Jaccard similarity of ``similarity`` or
+    more: bands of minima find the candidates (a pair at 0.8 is missed with
+    probability 3e-5) and each link is confirmed on the sets.
 
     Texts without words have fingerprint zero and link like others.  Null ids:
     such rows are linked among the others but a null is never a component's
     name unless all its ids are null (component_id null).  Rows of one id are
     one document and come back each.  Other columns are not looked at.
     """
-    bits = 64 * lanes
+    text = F.concat(*[F.lpad(F.lower(F.hex(F.col("fp")[k])), 16, "0") for k in range(lanes)])
     if limit is None:
-        p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-        limit = int(round(bits * p + 2.5 * (bits * p * (1 - p)) ** 0.5))
+        if lanes == 1:
+            raise ValueError("similarity needs more lanes, one lane a limit")
+        prints, named = _similar(docs, words, lanes, similarity, tile_rows)
+        named = frames.written(named, "components")
+        return prints.select("doc_id", "fp", "digest").join(named, "digest", "left").select("doc_id", text.alias("fingerprint"), "component_id")
     agree = 2 if lanes == 1 else 0
     if lanes == 1 and limit > 3:
         raise ValueError("block keys find up to 3 differing bits; use more lanes")
@@ -251,7 +397,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int
     joined = components(edges)
     named = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")).groupBy("fp").agg(F.min("component_id").alias("component_id"))
     named = frames.written(named, "components")  # both sides of the join below then come straight from a shuffle, which splits a hot fingerprint
-    text = F.concat(*[F.lpad(F.lower(F.hex(F.col("fp")[k])), 16, "0") for k in range(lanes)])
     return prints.select("doc_id", "fp").join(named, "fp", "left").select("doc_id", text.alias("fingerprint"), "component_id")
 
 

@@ -99,6 +99,51 @@ def test_near_dedup_similarity(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
 
 
+def similar_pages():
+    """Pages that share a tail less or a template: pairs at similarities of 0.5-0.79 and 0.80-0.85, short texts, a template at 0.6."""
+    rng = np.random.default_rng(4)
+    fresh = iter(f"n{i}" for i in range(10**6))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    rows = []
+    for m in [*range(16, 22), *range(22, 66, 3)] * 2:  # (196 - m) / (196 + m)
+        base = some(200)
+        rows += [base, base[: 200 - m] + some(m)]
+    for n, m in [(14, 1), (15, 1), (12, 1), (24, 2), (24, 3), (5, 1), (4, 0), (3, 1)]:  # the first, second, fourth: 9/11, 10/12, 18/22
+        base = some(n)
+        rows += [base, base[: n - m] + some(m)]
+    template = some(154)
+    rows += [template + some(50) for _ in range(60)]
+    return [" ".join(rows[i]) for i in rng.permutation(len(rows))]
+
+
+@pytest.mark.parametrize("tile_rows", [8192, 2])
+def test_near_dedup_is_exact(spark, tile_rows):
+    rows = similar_pages()
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, rows)]
+    comp = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 and comp[i] != comp[j]:
+                old, new = max(comp[i], comp[j]), min(comp[i], comp[j])
+                comp = [new if c == old else c for c in comp]
+    assert 12 < sum(c != i for i, c in enumerate(comp)) < 20
+    out = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(spark, rows), tile_rows=tile_rows).collect()}
+    assert out == dict(enumerate(comp))
+
+
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1), min_size=1, max_size=12), st.sampled_from([0.3, 0.5, 0.8]))
+@settings(max_examples=100, deadline=None)
+def test_similar_forest(sets, similarity):
+    flat = np.array([x for s in sets for x in sorted(s)], np.int64)
+    up = simhash.similar_forest(flat, np.array([len(s) for s in sets]), similarity)
+    comp = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+                comp = [comp[j] if c == comp[i] else c for c in comp]
+    assert all((up[i] == up[j]) == (comp[i] == comp[j]) for i in range(len(sets)) for j in range(len(sets)))
+
+
 def test_near_dedup_edges(spark):
     df = spark.createDataFrame([(3, "a b c"), (None, "a b c"), (None, None), (5, ""), (6, None), (3, "a b c"), (7, "A  b\nC")], "doc_id long, text string")
     out = sorted(((r["doc_id"] or -1), r["component_id"]) for r in simhash.near_duplicates(df, 3, 1, 3).collect())
