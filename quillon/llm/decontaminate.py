@@ -6,7 +6,8 @@ they share a seed, a run of ``tile`` tokens.  For a candidate the longest
 common run of unmarked tokens is marked again and again, until none of at
 least ``tile`` tokens is left; runs come from rolling Karp-Rabin hashes and are
 confirmed token by token.  The share of the item that the tiles cover, in
-whatever order they stand, decides.
+whatever order they stand, decides.  An item of fewer than ``tile`` tokens is
+one tile: it is found where it stands whole.
 
 Test items go to the executors in blocks of bounded size; documents are never
 shuffled.
@@ -67,17 +68,21 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str], tile: int) -> None:
         self.ids, self.words, self.hashes = [], [], []
+        short: dict[int, list[tuple[int, int]]] = {}
         seeds, owner, place = [], [], []
         base = 0
         for block in blocks(pa.array(texts, pa.string())):
             t = Tokens(block)
             for d, (a, b) in enumerate(pairwise(t.first)):
+                if a == b:
+                    continue  # no token
+                at, h = windows(t.hashes[a:b], t.docs[a:b], min(tile, int(b - a)))
                 if b - a < tile:
-                    continue  # too short to hold a tile
-                at, h = windows(t.hashes[a:b], t.docs[a:b], tile)
-                seeds.append(h)
-                place.append(at)
-                owner.append(np.full(len(h), len(self.ids)))
+                    short.setdefault(int(b - a), []).append((int(h[0]), len(self.ids)))
+                else:
+                    seeds.append(h)
+                    place.append(at)
+                    owner.append(np.full(len(h), len(self.ids)))
                 self.ids.append(ids[base + d])
                 self.words.append(t.words(a, b))
                 self.hashes.append(t.hashes[a:b])
@@ -88,6 +93,8 @@ class Items:
         self.seeds = seeds[order]
         self.owner = (np.concatenate(owner) if owner else empty)[order]
         self.place = (np.concatenate(place) if place else empty)[order]
+        #: By length, the hashes of items shorter than a tile in ascending order, and the items.
+        self.short = {n: (np.array([h for h, _ in sorted(x)], np.uint64), [i for _, i in sorted(x)]) for n, x in short.items()}
         self.sieve = np.zeros(_SIEVE, bool)
         self.sieve[(self.seeds & np.uint64(_SIEVE - 1)).astype(np.int64)] = True
 
@@ -133,6 +140,7 @@ def tiles(doc: np.ndarray, item: np.ndarray, p: np.ndarray, q: np.ndarray, tile:
 def _matches(block: Block, items: Items, tile: int, coverage: float) -> Iterator[tuple[int, int, int, int, int]]:
     """Document (in the block), item, tokens of the item, tokens covered and tiles, where coverage is reached."""
     t = Tokens(block)
+    yield from _short_matches(t, items)
     at, h = windows(t.hashes, t.docs, tile)
     window, item, q = items.hits(h)
     if not len(window):
@@ -156,6 +164,21 @@ def _matches(block: Block, items: Items, tile: int, coverage: float) -> Iterator
             yield d, i, len(items.words[i]), covered, len(found)
 
 
+def _short_matches(t: Tokens, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
+    """The same for items shorter than a tile: each document that holds the whole item, once."""
+    for n, (hashes, owner) in items.short.items():
+        at, h = windows(t.hashes, t.docs, n)
+        low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        seen: set[tuple[int, int]] = set()
+        for k in np.flatnonzero(high > low).tolist():
+            p = int(at[k])
+            for i in owner[low[k] : high[k]]:
+                pair = int(t.docs[p]), i
+                if pair not in seen and t.words(p, p + n) == items.words[i]:
+                    seen.add(pair)
+                    yield *pair, n, n, 1
+
+
 _built: dict[str, Items] = {}
 
 
@@ -184,7 +207,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, tile: int = TILE, covera
     """One row for each document and test item whose tiles cover at least ``coverage`` of the item.
 
     doc_id, item_id, item_tokens, covered_tokens, n_tiles, coverage.  Null or
-    empty texts match nothing, nor do items of fewer than ``tile`` tokens.
+    empty texts match nothing; items of fewer than ``tile`` tokens match where
+    they stand whole.
     Repeated rows are reported each; an empty benchmark finds nothing.
     """
     arrow = to_arrow_schema(FOUND)

@@ -167,6 +167,16 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(documents(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    """An item shorter than a tile is reported where it stands whole, once a document, and only there."""
+    rows = ["It was (TOO, short) too short", "too very short", "short too", "Yes!", "yesterday", "a b c d e", None, "too", "short"]
+    bench = spark.createDataFrame([(1, "Too short"), (2, "yes"), (3, "b c d e"), (4, "a b c d e"), (5, "TOO SHORT!"), (6, "?!"), (7, None)], "item_id long, text string")
+    out = decontaminate.contaminated(documents(spark, rows), bench).collect()
+    got = sorted((r["doc_id"], r["item_id"], r["item_tokens"], r["covered_tokens"], r["n_tiles"], r["coverage"]) for r in out)
+    assert got == [(0, 1, 2, 2, 1, 1.0), (0, 5, 2, 2, 1, 1.0), (3, 2, 1, 1, 1, 1.0), (5, 3, 4, 4, 1, 1.0), (5, 4, 5, 5, 1, 1.0)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(documents(spark, rows), bench).collect()) == [1, 2, 4, 6, 7, 8]
+
+
 # --- substring dedup --------------------------------------------------------
 
 
