@@ -1,23 +1,54 @@
-"""A pair of Bloom filters, for hashes seen once and hashes seen in two documents, filled by all executors."""
+"""Two Bloom filters: one of hashes seen once, one of hashes seen in two documents or more.
+
+The once-seen filter is dealt to executors by ranges of hashes: each task
+holds the slice of one range at a time, laid out for the hashes it expects, so
+a corpus of any size needs more slices and no larger ones.  A hash that its
+slice has already is a suspected repeat.  The suspects make the twice-seen
+filter, sized by their number, which all executors get; beyond
+``FILTER_BYTES`` it is cut into several, each for a range of hashes, and a
+reader goes over its input once for each.
+
+Too few bits make more suspects and never lose one.
+"""
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Filters move in pages of this many bits.
-PAGE_BITS = 1 << 19
-_PAGES = T.StructType([T.StructField("page", T.IntegerType()), T.StructField("once", T.BinaryType()), T.StructField("twice", T.BinaryType())])
+from quillon.llm import frames
+from quillon.llm.text_blocks import mix64
+
+#: Bits of a filter for each hash that it is laid out for.
+BITS_PER_HASH = 16
+#: Hashes that one slice of the once-seen filter is laid out for.
+SLICE_HASHES = 1 << 21
+#: Hashes that a task merges before it sends them on.
+HELD = 1 << 20
+#: Bits of a page, the part of the twice-seen filter that one row carries.
+PAGE_BITS = 1 << 16
+#: Bytes of a twice-seen filter that executors hold at once.
+FILTER_BYTES = 64 << 20
+
+_SENT = T.StructType([T.StructField("slice", T.IntegerType()), T.StructField("hashes", T.BinaryType()), T.StructField("again", T.BinaryType())])
+_PAGES = T.StructType([T.StructField("page", T.LongType()), T.StructField("bits", T.BinaryType())])
 
 
-def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(31)) & mask).astype(np.int64)
+def _ranges(h: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges (fewer than 2**31) each hash is in."""
+    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
+def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each hash among ``bits``, a power of two of at most 2**32."""
+    h, mask = mix64(h), np.uint64(bits - 1)
+    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
 def _have(packed: np.ndarray, slots: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -32,52 +63,127 @@ def _put(packed: np.ndarray, slots: tuple[np.ndarray, ...]) -> None:
         np.bitwise_or.at(packed, s >> 3, np.uint8(128) >> (s & 7).astype(np.uint8))
 
 
-def _page(page: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
-    """A page on its way, deflated: what one task fills is sparse."""
-    return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": [zlib.compress(once, 1)], "twice": [zlib.compress(twice, 1)]})
-
+def repeats(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], expected: int, bits_per_hash: int = BITS_PER_HASH, slice_hashes: int = SLICE_HASHES) -> DataFrame:
+    """A written table (hash: long) of hashes that come from two documents or more, and of a few others.
 
-def contains(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether each hash is in a packed filter."""
-    return _have(packed, _slots(hashes, len(packed) * 8))
-
-
-def repeat_filter(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, tasks: int) -> bytes:
-    """The packed filter of hashes that come from two documents or more.
-
-    ``hashes`` yields arrays in which each document has a hash once.  At most
-    ``tasks`` tasks each fill a pair of ``bits`` bits; the pairs are merged
-    page by page, and bits / 8 bytes come to the driver whatever the input.
+    ``hashes`` yields arrays in which each document has a hash once;
+    ``expected`` is about how many there are in all.  Only hashes move.
     """
-    page_bytes = min(PAGE_BITS, bits) // 8
+    slices = max(1, -(-expected // slice_hashes))
+    bits = 1 << max(6, (slice_hashes * bits_per_hash - 1).bit_length())
+
+    def merged(held: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        cuts = np.searchsorted(_ranges(h, slices), np.arange(slices + 1))
+        full = np.flatnonzero(np.diff(cuts))
+        rows = [(int(k), h[cuts[k] : cuts[k + 1]].tobytes(), (n[cuts[k] : cuts[k + 1]] > 1).tobytes()) for k in full]
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=_SENT.names)
+
+    def send(batches):
+        held, size = [], 0
+        for batch in frames.pieces(batches):
+            for h in hashes(batch):
+                held.append(h)
+                size += len(h)
+                if size >= HELD:
+                    yield merged(held)
+                    held, size = [], 0
+        if size:
+            yield merged(held)
 
     def fill(batches):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        once = np.zeros(bits // 8, np.uint8)
+        at, found, size = None, [], 0
+
+        def close():
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["hash"])
+
         for batch in batches:
-            for h in hashes(batch):
-                h, n = np.unique(h, return_counts=True)
+            for k, sent, again in zip(*(batch.column(i) for i in range(3)), strict=True):
+                if k.as_py() != at:
+                    if found:
+                        yield close()
+                    at, found, size = k.as_py(), [], 0
+                    once[:] = 0
+                h = np.frombuffer(sent.as_buffer(), np.uint64)
                 slots = _slots(h, bits)
-                again = _have(once, slots) | (n > 1)
-                _put(twice, tuple(s[again] for s in slots))
+                repeat = h[_have(once, slots) | np.frombuffer(again.as_buffer(), bool)]
                 _put(once, slots)
-        for page in range(bits // 8 // page_bytes):
-            part = slice(page * page_bytes, (page + 1) * page_bytes)
-            if once[part].any():
-                yield _page(page, once[part], twice[part])
+                if len(repeat):
+                    found.append(repeat)
+                    size += len(repeat)
+                    if size > 4 * HELD:  # a hash in very many documents is found again and again
+                        found = [np.unique(np.concatenate(found))]
+                        size = len(found[0])
+        if found:
+            yield close()
+
+    dealt = df.mapInArrow(send, _SENT).repartition("slice").sortWithinPartitions("slice")
+    return frames.written(dealt.mapInArrow(fill, "hash long"), "repeats")
+
+
+class Filter:
+    """The twice-seen filter, or the part of it for the pages from ``first`` on."""
+
+    def __init__(self, value: tuple[bytes, int, int, int]) -> None:
+        packed, self.pages, self.first, self.page_bits = value
+        self.packed = np.frombuffer(packed, np.uint8)
+        self.held = len(packed) * 8 // self.page_bits
+
+    def contains(self, h: np.ndarray) -> np.ndarray:
+        page = _ranges(h, self.pages) - self.first
+        slots = tuple(np.clip(page, 0, self.held - 1) * self.page_bits + s for s in _slots(h, self.page_bits))
+        found = _have(self.packed, slots)
+        return found if self.held == self.pages else found & (page >= 0) & (page < self.held)
+
+
+def filters(hashes: DataFrame, bits_per_hash: int = BITS_PER_HASH, filter_bytes: int = FILTER_BYTES, page_bits: int = PAGE_BITS) -> list[Broadcast]:
+    """Broadcasts, each the argument of a :class:`Filter`, that together hold all of (hash: long).
+
+    Executors build the pages; at most ``filter_bytes`` are on the driver at
+    once.  No hashes: no filters.
+    """
+    spark = hashes.sparkSession
+    n = hashes.count()
+    if not n:
+        return []
+    pages = -(-n * bits_per_hash // page_bits)
+    at_once = max(1, filter_bytes * 8 // page_bits)
+
+    def build(batches):
+        page, packed = None, np.zeros(page_bits // 8, np.uint8)
+
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([packed.tobytes()], pa.binary())], names=_PAGES.names)
 
-    def merge(batches):
-        pages: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for page, a, b in zip(*(batch.column(i) for i in range(3)), strict=True):
-                once, twice = (np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in (a, b))
-                have = pages.get(page.as_py())
-                pages[page.as_py()] = [once, twice] if have is None else [have[0] | once, have[1] | twice | (have[0] & once)]
-        for page, (once, twice) in pages.items():
-            yield _page(page, once, twice)
-
-    parts = max(1, min(bits // 8 // page_bytes, tasks))  # the more tasks fill, the fewer pages one merges
-    merged = df.coalesce(tasks).mapInArrow(fill, _PAGES).repartition(parts, "page").mapInArrow(merge, _PAGES)
-    packed = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("page", "twice").collect():
-        packed[row["page"] * page_bytes :][:page_bytes] = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
-    return packed.tobytes()
+            at, h = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            edge = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else []
+            for a, b in zip(edge, [*edge[1:], len(at)], strict=True):
+                if at[a] != page:
+                    if page is not None:
+                        yield row()
+                    page = int(at[a])
+                    packed[:] = 0
+                _put(packed, _slots(h[a:b].view(np.uint64), page_bits))
+        if page is not None:
+            yield row()
+
+    page = F.shiftright(F.shiftrightunsigned("hash", 32) * F.lit(pages).cast("long"), 32).alias("page")
+    paged = hashes.select(page, "hash").repartition("page").sortWithinPartitions("page").mapInArrow(build, _PAGES)
+    if pages > at_once:
+        paged = frames.written(paged, "pages")
+    out = []
+    for first in range(0, pages, at_once):
+        packed = np.zeros((min(at_once, pages - first), page_bits // 8), np.uint8)
+        mine = paged.filter(F.col("page").between(first, first + at_once - 1)) if pages > at_once else paged
+        for r in mine.collect():
+            packed[r["page"] - first] = np.frombuffer(r["bits"], np.uint8)
+        out.append(spark.sparkContext.broadcast((packed.tobytes(), pages, first, page_bits)))
+    return out
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """UTF-8 bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

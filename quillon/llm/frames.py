@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else (tests, one machine) a temporary one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; unset, a temporary one, on one machine only."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="quillon-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(where)
@@ -32,7 +35,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends there, and lost executors cost nothing."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +61,26 @@ def hash_sample(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     return df.orderBy(h, *keys).limit(rows)
 
 
+#: Bytes of a batch that are worked on together; one larger row stands alone.
+PIECE_BYTES = 8 << 20
+
+
+def pieces(batches: Iterable[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in order, cut into batches of at most ``limit`` bytes or one row."""
+    for batch in batches:
+        if batch.nbytes <= limit or batch.num_rows < 2:
+            yield batch
+        else:
+            half = batch.num_rows // 2
+            yield from pieces((batch.slice(0, half), batch.slice(half)), limit)
+
+
+def rows(batch: pa.RecordBatch, at_once: int = 256) -> Iterator[dict]:
+    """The rows of a batch as Python objects, a few at a time."""
+    for k in range(0, batch.num_rows, at_once):
+        yield from batch.slice(k, at_once).to_pylist()
+
+
 def map_batches(
     df: DataFrame,
     fields: Sequence[tuple[str, T.DataType]],
@@ -69,6 +92,7 @@ def map_batches(
 
     ``keep`` names the input columns that are carried along; ``fn`` returns the
     new columns of a batch by name, which replace kept ones of the same name.
+    Batches reach ``fn`` in :func:`pieces`, whatever the size of their rows.
     """
     new = dict(fields)
     kept = [c for c in keep if c not in new]
@@ -76,7 +100,7 @@ def map_batches(
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             if batch.num_rows:
                 made = fn(batch)
                 columns = [batch.column(batch.schema.get_field_index(c)) if c in kept else made[c] for c in schema.names]

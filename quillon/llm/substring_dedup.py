@@ -11,17 +11,23 @@ over it also starts in a document with a smaller doc_id.
    windows meet; a shard builds an FM-index of its segments and streams them
    through it by backward search, which gives the interval, and so the
    smallest document, of every window.  Shards hold a bounded number of words.
-3. An anchor with more than ``HOT_ROWS`` segments would not fit a shard: its
-   windows are summed up by a plain distributed aggregation instead.
-4. Windows that an earlier document has go back to the documents by segment.
+3. An anchor with more than ``HOT_ROWS`` segments would not fit a shard.  Its
+   windows take the least hash that is not such an anchor's instead; if that is
+   hot too, or there is none, the hash of the window itself, of which there are
+   few segments.  So all windows go through an index.
+4. Windows that an earlier document has go back to the documents by segment;
+   documents without any are not moved if the keys of the others are few enough
+   to be broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,14 +39,16 @@ from quillon.llm.text_blocks import Block, blocks, covered, mix64, windows
 WINDOW, GRAM = 13, 6
 #: Windows of one segment at most, so that a segment is short whatever the text.
 RUN = 32
-FILTER_BITS, FILTER_TASKS = 1 << 28, 12
 #: Words of a shard's index, about.
 SHARD_WORDS = 1 << 20
-HOT_ROWS = 50_000
+HOT_ROWS = 20_000
 #: Segments a task sums up before it sends them on.
 HELD = 100_000
-#: Hot anchors that may be broadcast; more are joined.
-BROADCAST_ROWS = 100_000
+#: UTF-8 bytes of text for each anchor of a document that the filters are laid out for.
+BYTES_PER_ANCHOR = 24
+#: Keys of documents that lose words, broadcast up to this many; beyond that every document is joined.
+BROADCAST_KEYS = 1_000_000
+_MOST = np.uint64(2**64 - 1)
 
 _SEGMENTS = "anchor long, text binary, low long, high long"
 _PLACES = "doc_id long, digest long, id binary, start int"
@@ -48,9 +56,13 @@ _EARLIER = "id binary, offs array<int>, mins array<long>"
 
 
 class Segments:
-    """Segments of a block: first word, number of windows, anchor and document of each."""
+    """Segments of a block: first word, number of windows, anchor and document of each.
 
-    def __init__(self, block: Block, window: int) -> None:
+    Hashes of the filter ``hot[0]`` are no anchors while there are others;
+    windows whose anchor is in ``hot[1]`` have themselves as anchor.
+    """
+
+    def __init__(self, block: Block, window: int, hot: Sequence[bloom.Filter] = ()) -> None:
         starts, ends, docs = block.words()
         hashes = block.hashes(starts, ends)
         gram = min(GRAM, window)
@@ -60,17 +72,24 @@ class Segments:
         self.first, self.count, self.doc, self.anchor = empty, empty, empty, empty.astype(np.uint64)
         if n <= 0:
             return
-        least = np.full(len(starts), np.uint64(2**64 - 1))
+        if hot:
+            grams = np.where(hot[0].contains(mix64(grams)), _MOST, grams)
+        least = np.full(len(starts), _MOST)
         least[at] = grams
         width, span = 1, window - gram + 1
         while width < span:
             step = min(width, span - width)
             least = np.minimum(least[:-step], least[step:])
             width += step
-        valid = np.flatnonzero(docs[:n] == docs[window - 1 :])
+        valid, whole = windows(hashes, docs, window)
         if not len(valid):
             return
-        anchor = least[valid]
+        anchor = mix64(least[valid])
+        if hot:
+            alone = least[valid] == _MOST
+            for more in hot[1:]:
+                alone |= more.contains(anchor)
+            anchor = np.where(alone, mix64(whole + np.uint64(1)), anchor)
         new = np.ones(len(valid), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (valid[1:] != valid[:-1] + 1)
         heads = np.flatnonzero(new)
@@ -78,7 +97,7 @@ class Segments:
         heads = np.flatnonzero(place % RUN == 0)
         self.first = valid[heads]
         self.count = np.diff(np.append(heads, len(valid)))
-        self.anchor = mix64(anchor[heads])
+        self.anchor = anchor[heads]
         self.doc = docs[self.first]
 
     def anchors_once_a_doc(self) -> np.ndarray:
@@ -89,10 +108,26 @@ class Segments:
         return a[new]
 
 
-def _suspects(block: Block, packed: np.ndarray, window: int):
+class Cut:
+    """How documents are cut into segments and which of these are suspects; opened in each task."""
+
+    def __init__(self, window: int, hot: Sequence[Broadcast], repeated: Broadcast | None = None) -> None:
+        self.window, self.hot, self.repeated = window, tuple(hot), repeated
+
+    def open(self) -> Cut:
+        opened = Cut(self.window, ())
+        opened.hot = tuple(bloom.Filter(h.value) for h in self.hot)
+        opened.repeated = self.repeated and bloom.Filter(self.repeated.value)
+        return opened
+
+    def segments(self, block: Block) -> Segments:
+        return Segments(block, self.window, self.hot)
+
+
+def _suspects(block: Block, cut: Cut):
     """Document, first word, id, text and anchor of the segments whose anchor is in the filter."""
-    segments = Segments(block, window)
-    use = np.flatnonzero(bloom.contains(packed, segments.anchor))
+    segments, window = cut.segments(block), cut.window
+    use = np.flatnonzero(cut.repeated.contains(segments.anchor))
     if not len(use):
         return
     joined, starts, ends, docs = block.joined(block.data)
@@ -105,11 +140,11 @@ def _suspects(block: Block, packed: np.ndarray, window: int):
         yield d, p, segment_id(text), text, anchor
 
 
-def _segment_rows(docs: DataFrame, shared, window: int) -> DataFrame:
+def _segment_rows(docs: DataFrame, cut: Cut) -> DataFrame:
     """Distinct segments of each task, with the smallest and largest doc_id that has them."""
 
     def run(batches):
-        packed = np.frombuffer(shared.value, np.uint8)
+        here = cut.open()
         held: dict[bytes, list] = {}
 
         def flush():
@@ -118,10 +153,10 @@ def _segment_rows(docs: DataFrame, shared, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["anchor", "text", "low", "high"])
             held.clear()
 
-        for batch in batches:
+        for batch in frames.pieces(batches):
             ids = batch.column(0).to_pylist()
             for block in blocks(batch.column(1)):
-                for d, _, key, text, anchor in _suspects(block, packed, window):
+                for d, _, key, text, anchor in _suspects(block, here):
                     doc = ids[block.first + d]
                     have = held.get(key)
                     if have is None:
@@ -138,15 +173,15 @@ def _segment_rows(docs: DataFrame, shared, window: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, _SEGMENTS)
 
 
-def _place_rows(docs: DataFrame, shared, window: int) -> DataFrame:
+def _place_rows(docs: DataFrame, cut: Cut) -> DataFrame:
     """Where each suspected segment stands: document, first word."""
 
     def run(batches):
-        packed = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
+        here = cut.open()
+        for batch in frames.pieces(batches):
             ids, digests = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(1)):
-                rows = [(block.first + d, p, key) for d, p, key, _, _ in _suspects(block, packed, window)]
+                rows = [(block.first + d, p, key) for d, p, key, _, _ in _suspects(block, here)]
                 if rows:
                     d, p, keys = zip(*rows, strict=True)
                     d = np.array(d)
@@ -171,12 +206,9 @@ def _search(texts: list[bytes], low: np.ndarray, high: np.ndarray, window: int):
     inside = np.ones(len(text), bool)
     inside[ends - 1] = False
     text[inside] = flat
-    owner = np.repeat(low, lengths + 1)
-    index = FMIndex(text, window)
-    heads = np.flatnonzero(index.class_low == np.arange(index.n))
-    least = np.minimum.reduceat(owner[index.suffix], heads)
-    segment, offset, first, _ = index.matching(text, starts, lengths)
-    minimum = least[np.searchsorted(heads, first)]
+    index = FMIndex(text, window, np.repeat(low, lengths + 1))
+    segment, offset, _, _, kind = index.matching(text, starts, lengths)
+    minimum = index.least[kind]
     tell = np.flatnonzero(minimum < high[segment])
     order = tell[np.lexsort((offset[tell], segment[tell]))]
     segment, offset, minimum = segment[order], offset[order], minimum[order]
@@ -220,53 +252,82 @@ def _shards(segments: DataFrame, window: int) -> DataFrame:
     return segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _EARLIER)
 
 
-def _hot_windows(segments: DataFrame, window: int) -> DataFrame:
-    """The same for segments of hot anchors, window by window."""
-    words = F.split(F.col("text").cast("string"), " ")
-    offs = F.sequence(F.lit(0), F.size("words") - window)
-    each = segments.withColumn("words", words).select(F.unhex(F.md5("text")).alias("id"), "low", "high", F.posexplode(F.transform(offs, lambda i: F.concat_ws(" ", F.slice("words", i + 1, window)))).alias("off", "win"))
-    least = each.groupBy("win").agg(F.min("low").alias("m"))
-    found = each.join(least, "win").filter("m < high")
-    return found.select("id", F.array("off").alias("offs"), F.array("m").alias("mins"))
-
-
-def earlier_windows(docs: DataFrame, window: int, filter_bits: int, hot_rows: int) -> DataFrame:
-    """doc_id, digest, starts: the words at which windows start that a smaller doc_id has, as lists of lists."""
-    spark = docs.sparkSession
+def _cuts(docs: DataFrame, window: int, hot: Sequence[Broadcast], expected: int, layout: dict[str, int]) -> list[Cut]:
+    """A cut for each part of the filter of repeated anchors."""
+    unfiltered = Cut(window, hot)
 
     def anchors(batch: pa.RecordBatch):
+        here = unfiltered.open()
         for block in blocks(batch.column(0)):
-            yield Segments(block, window).anchors_once_a_doc()
-
-    tasks = max(FILTER_TASKS, 2 * spark.sparkContext.defaultParallelism)
-    shared = spark.sparkContext.broadcast(bloom.repeat_filter(docs.select("text"), anchors, filter_bits, tasks))
-    segments = frames.written(_segment_rows(docs, shared, window), "segments")
-    hot = segments.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("anchor")
-    hot = frames.written(hot, "hot-anchors")
-    many = hot.count()
-    side = F.broadcast(hot) if many <= BROADCAST_ROWS else hot
-    found = _shards(segments.join(side, "anchor", "left_anti").select("anchor", "text", "low", "high") if many else segments, window)
-    if many:
-        found = found.unionByName(_hot_windows(segments.join(side, "anchor", "left_semi"), window))
-    found = frames.written(found, "earlier")
+            yield here.segments(block).anchors_once_a_doc()
+
+    sizes = {k: layout[k] for k in ("bits_per_hash", "slice_hashes") if k in layout}
+    repeated = bloom.repeats(docs.select("text"), anchors, expected, **sizes)
+    found = bloom.filters(repeated, **{k: layout[k] for k in ("bits_per_hash", "filter_bytes", "page_bits") if k in layout})
+    frames.forget(docs.sparkSession, repeated)
+    return [Cut(window, hot, f) for f in found]
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def earlier_windows(docs: DataFrame, window: int, hot_rows: int, **layout: int) -> DataFrame | None:
+    """doc_id, digest, starts: the words at which windows start that a smaller doc_id has, as lists of lists; None: there are none."""
+    spark = docs.sparkSession
+    expected = bloom.text_bytes(docs) // BYTES_PER_ANCHOR + 1
+    hot: list[Broadcast] = []
+    while True:
+        cuts = _cuts(docs, window, hot, expected, layout)
+        if not cuts:
+            return None
+        segments = frames.written(_union([_segment_rows(docs, cut) for cut in cuts]), "segments")
+        if len(hot) == 2:  # windows of hot anchors are their own anchors now
+            break
+        many = segments.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(F.col("anchor").alias("hash"))
+        many = frames.written(many, "hot-anchors")
+        found = bloom.filters(many, filter_bytes=1 << 40)  # two bytes for each, of which there are fewer than segments / hot_rows
+        frames.forget(spark, many)
+        if not found:
+            break
+        frames.forget(spark, segments)
+        hot += found
+    found = frames.written(_shards(segments, window), "earlier")
     frames.forget(spark, segments)
-    joined = _place_rows(docs, shared, window).join(found, "id")
+    joined = _union([_place_rows(docs, cut) for cut in cuts]).join(found, "id")
     mine = F.filter(F.arrays_zip("offs", "mins"), lambda x: x["mins"] < F.col("doc_id"))
     joined = joined.select("doc_id", "digest", F.transform(mine, lambda x: x["offs"] + F.col("start")).alias("at")).filter(F.size("at") > 0)
     return joined.groupBy("doc_id", "digest").agg(F.collect_list("at").alias("_starts"))
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, filter_bits: int = FILTER_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS, broadcast_keys: int = BROADCAST_KEYS, **layout: int) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one blank) and kept_sha256 of each row.
 
     Words are taken as they stand.  Null or empty texts have none.  A row with
     a null doc_id comes neither before nor after others: it loses nothing and
     takes nothing.  Rows that repeat an id are one document where windows are
     compared (neither is smaller) and come back each.  Other columns are not
-    looked at.
+    looked at.  ``layout`` overrides the sizes of :mod:`bloom`, for tests.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
-    starts = earlier_windows(rows.filter("doc_id is not null"), window, filter_bits, hot_rows)
+    starts = earlier_windows(rows.filter("doc_id is not null"), window, hot_rows, **layout)
+    none = F.lit(None).cast("array<array<int>>").alias("_starts")
+    if starts is None:
+        return _kept(rows.select("*", none), window)
+    starts = frames.written(starts, "window-starts")
+    if starts.count() > broadcast_keys:
+        return _kept(rows.join(starts, ["doc_id", "digest"], "left"), window)
+    keys = F.broadcast(starts.select("doc_id", "digest"))  # at most broadcast_keys
+    losing = rows.join(keys, ["doc_id", "digest"], "left_semi").join(starts, ["doc_id", "digest"])
+    whole = rows.join(keys, ["doc_id", "digest"], "left_anti").select("*", none)
+    return _kept(whole, window).unionByName(_kept(losing, window))
+
+
+def _kept(rows: DataFrame, window: int) -> DataFrame:
+    """The output rows of documents (doc_id, text, _starts)."""
     fields = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_text", T.StringType()), ("kept_sha256", T.StringType())]
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -290,4 +351,4 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, filter_bits: int = F
                 kept.append(b" ".join(data[begin[a + s] : end[a + e - 1]] for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)))
         return {"n_words": n_words, "n_removed": n_removed, "kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]}
 
-    return frames.map_batches(rows.join(starts, ["doc_id", "digest"], "left"), fields, run, keep=["doc_id"])
+    return frames.map_batches(rows, fields, run, keep=["doc_id"])

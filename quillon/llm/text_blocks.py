@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are looked at together; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 18
+#: Bytes whose prefix sums are held at once while ranges are hashed, however long a text is.
+HASH_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
@@ -23,18 +25,14 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_powers: dict[str, np.ndarray] = {}
+def _power_table(base: int) -> np.ndarray:
+    """base**i modulo 2**64 for i up to HASH_BYTES."""
+    table = np.full(HASH_BYTES + 1, base, np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n at least."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["up"], _powers["down"]
+_UP, _DOWN = _power_table(_BASE), _power_table(pow(_BASE, -1, 1 << 64))
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -88,14 +86,11 @@ class Block:
         """The words of ``data`` (this block's bytes or their lower case), each followed by one blank, with new starts, ends and documents."""
         starts, ends, docs = self.words()
         new_ends = np.cumsum(ends - starts + 1)
-        new_starts = new_ends - (ends - starts) - 1
-        step = np.ones(int(new_ends[-1]) if len(new_ends) else 0, np.int64)
-        if len(step):
-            step[0] = starts[0]
-            step[new_starts[1:]] = starts[1:] - ends[:-1]
-        out = data[np.minimum(np.cumsum(step), max(len(data) - 1, 0))]
-        out[new_ends - 1] = 32
-        return out, new_starts, new_ends - 1, docs
+        gap = np.zeros(int(new_ends[-1]) if len(new_ends) else 0, bool)
+        gap[new_ends - 1] = True
+        out = np.full(len(gap), 32, np.uint8)
+        out[~gap] = data[~_SPACE[self.data]]  # every byte that is no white space belongs to one word
+        return out, new_ends - (ends - starts) - 1, new_ends - 1, docs
 
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and document of every \\n-separated line; an empty text is one empty line."""
@@ -106,12 +101,27 @@ class Block:
         return starts, ends, np.repeat(np.arange(self.docs), self.per_doc(breaks) + 1)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, data: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each byte range, alike wherever the range stands."""
+        """A 64-bit hash of each byte range, alike wherever the range stands; starts and ends ascend.
+
+        Sums of base**i * byte are carried from chunk to chunk, so memory beyond
+        the ranges themselves does not grow with the text.
+        """
         data = self.data if data is None else data
-        up, down = _power_tables(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-        return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        at_start, at_end, back = (np.zeros(len(starts), np.uint64) for _ in range(3))
+        carry, whole = 0, (1 << 64) - 1
+        for c in range(0, len(data), HASH_BYTES):
+            part = data[c : c + HASH_BYTES]
+            past = c + len(part)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _UP[: len(part)], out=sums[1:])
+            up, down = pow(_BASE, c, 1 << 64), pow(_BASE, -c, 1 << 64)
+            a, b = np.searchsorted(starts, [c, past + (past == len(data))])
+            at_start[a:b] = np.uint64(carry) + np.uint64(up) * sums[starts[a:b] - c]
+            back[a:b] = np.uint64(down) * _DOWN[starts[a:b] - c]
+            a, b = np.searchsorted(ends, [c, past], side="right")
+            at_end[a:b] = np.uint64(carry) + np.uint64(up) * sums[ends[a:b] - c]
+            carry = (carry + up * int(sums[-1])) & whole
+        return mix64((at_end - at_start) * back + (ends - starts).astype(np.uint64))
 
 
 def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[Block]:
