@@ -14,19 +14,25 @@ of similarity 0.8 with probability 0.99997.
 
 Near-dedup by similarity takes the bands' buckets as candidates only: each link
 is confirmed by the exact Jaccard similarity of the two shingle sets.
+
+A bucket too large for a task is dealt into tiles.  In a first round each tile
+is looked at alone; tiles differ from bucket to bucket, so what belongs
+together mostly joins up there.  In a second round tiles of the same bucket
+meet, but the largest component of a bucket is not held against itself: a
+large group of near copies costs its size, not its square.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +40,12 @@ from quillon.llm import frames
 from quillon.llm.components import components
 from quillon.llm.text_blocks import Block, blocks, mix64
 
-#: Rows of a bucket compared in one task; larger buckets are cut into tiles of which every two meet.
+#: Rows of a bucket compared in one task; larger buckets are cut into tiles.
 TILE_ROWS = 8192
 #: Shingles of a bucket compared in one task where links are confirmed; tiles likewise.
 TILE_SHINGLES = 1 << 21
+#: Rows (id and hash) that are broadcast to pick documents, at most; more are joined.
+BROADCAST_ROWS = 1_000_000
 PIVOTS = 24
 BANDS, BAND_ROWS = 20, 4
 #: Shingles whose bits are counted together.
@@ -151,9 +159,19 @@ def pivot_table(fp: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_count(fp ^ r).sum(axis=1, dtype=np.int16) for r in ref], axis=1)
 
 
-def close_forest(fp: np.ndarray, limit: int, table: np.ndarray | None = None) -> np.ndarray:
+def _trees(component: np.ndarray | None, n: int) -> np.ndarray:
+    """The first row of each row's component."""
+    if component is None:
+        return np.arange(n)
+    _, first, which = np.unique(component, return_index=True, return_inverse=True)
+    return first[which]
+
+
+def close_forest(fp: np.ndarray, limit: int, table: np.ndarray | None = None, component: np.ndarray | None = None) -> np.ndarray:
     """A spanning forest of the links (distance at most ``limit``) among fingerprints, as an array of parents.
 
+    Rows of one ``component`` are linked already.
+
     Rows are ordered by their distance to the first pivot; each is held only
     against rows within ``limit`` of it there, these are thinned by the other
     pivots, and only survivors not yet in its tree are compared.
@@ -161,7 +179,7 @@ def close_forest(fp: np.ndarray, limit: int, table: np.ndarray | None = None) ->
     table = pivot_table(fp) if table is None else table
     order = np.argsort(table[:, 0], kind="stable")
     fp, table = fp[order], table[order]
-    parent = np.arange(len(fp))
+    parent = _trees(None if component is None else component[order], len(fp))
     past = np.searchsorted(table[:, 0], table[:, 0] + limit, side="right")
 
     def root(i: int) -> int:
@@ -190,17 +208,22 @@ def close_forest(fp: np.ndarray, limit: int, table: np.ndarray | None = None) ->
     return out
 
 
+def _edges(component: np.ndarray, up: np.ndarray) -> pa.RecordBatch | None:
+    """The links of a forest as distinct edges (a, b) between components."""
+    pairs = np.stack((component, component[up]), axis=1)
+    pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]) if len(pairs) else None
+
+
 def _bucket_links(limit: int):
-    """For sorted (key, tile, node, fp) rows: edges (a, b) of the forests of each bucket, one bucket in memory at a time."""
-    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """For sorted (key, tile, component, fp) rows: edges of the forests of each meeting, one meeting in memory at a time."""
 
-    def bucket(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        node, fp, table = rows[0] if len(rows) == 1 else (np.concatenate([r[k] for r in rows]) for k in range(3))
-        if len(node) > 1:
-            up = close_forest(fp, limit, table)
-            linked = up != np.arange(len(node))
-            if linked.any():
-                yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[up[linked]])], schema=fields)
+    def meeting(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        component, fp, table = rows[0] if len(rows) == 1 else (np.concatenate([r[k] for r in rows]) for k in range(3))
+        if len(component) > 1 and (component != component[0]).any():
+            edges = _edges(component, close_forest(fp, limit, table, component))
+            if edges:
+                yield edges
 
     def run(batches):
         held, last = [], None
@@ -208,48 +231,96 @@ def _bucket_links(limit: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, tile = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            node = batch.column(2).to_numpy(zero_copy_only=False)
-            lists = batch.column(3)
-            fp = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1)
+            key, tile, component = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            fp = batch.column(3).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(key), -1)
             table = pivot_table(fp)
             edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]))))
             for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
                 if (key[a], tile[a]) != last:
-                    small += bucket(held) if held else ()
+                    small += meeting(held) if held else ()
                     held, last = [], (key[a], tile[a])
-                held.append((node[a:b], fp[a:b], table[a:b]))
+                held.append((component[a:b], fp[a:b], table[a:b]))
             if len(small) > 64:
                 yield from pa.Table.from_batches(small).combine_chunks().to_batches()
                 small = []
-        small += bucket(held) if held else ()
+        small += meeting(held) if held else ()
         if small:
             yield from pa.Table.from_batches(small).combine_chunks().to_batches()
 
     return run
 
 
+def _tiles(n: Column, total: Column, tile_rows: int, tile_size: int) -> Column:
+    return F.ceil(F.greatest(n / tile_rows, total / tile_size)).cast("int")
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """First meetings of (key, node, size, tiles, ...): each tile of a bucket by itself, other tiles in every bucket."""
+    tile = F.pmod(F.xxhash64("node", "key"), F.col("tiles")).cast("int")
+    return rows.withColumns({"tile": tile, "component": F.col("node")}).drop("size", "tiles")
+
+
+def _second(rows: DataFrame, joined: DataFrame, tile_rows: int, tile_size: int) -> DataFrame:
+    """Second meetings of (key, node, size, tiles, ...) in buckets of several tiles, given the components of the first round.
+
+    In a bucket the tiles of its largest component (the others: minor) meet the
+    minor tiles only; minor tiles meet each other.  So every two rows of a
+    bucket that are in different components meet.
+    """
+    large = rows.filter("tiles > 1").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = large.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    most = F.max(F.struct("n", "total", "component")).alias("most")
+    cut = parts.groupBy("key").agg(most, F.sum("n").alias("n"), F.sum("total").alias("total")).filter(F.col("n") > F.col("most.n"))
+    cut = cut.select(
+        "key",
+        F.col("most.component").alias("main"),
+        _tiles(F.col("most.n"), F.col("most.total"), tile_rows, tile_size).alias("mains"),
+        _tiles(F.col("n") - F.col("most.n"), F.col("total") - F.col("most.total"), tile_rows, tile_size).alias("minors"),
+    )
+    met = large.join(cut, "key")
+    hashed = F.xxhash64("node", "key")
+    to = lambda n, make: F.transform(F.sequence(F.lit(0), F.col(n) - 1), make)
+    main, minor = F.pmod(hashed, F.col("mains")).cast("int"), F.pmod(hashed, F.col("minors")).cast("int")
+    mixed = lambda a, b: F.col("minors") * F.col("minors") + a * F.col("mains") + b
+    of_minor = F.concat(to("minors", lambda k: F.least(k, minor) * F.col("minors") + F.greatest(k, minor)), to("mains", lambda k: mixed(minor, k)))
+    of_main = to("minors", lambda k: mixed(k, main))
+    places = F.when(F.col("component") == F.col("main"), of_main).otherwise(of_minor)
+    return met.withColumn("tile", F.explode(places)).drop("size", "tiles", "main", "mains", "minors")
+
+
 def links(nodes: DataFrame, limit: int, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Edges (a, b) that connect what fingerprints within ``limit`` connect, of nodes (node, fp, keys).
 
-    A bucket of more than ``tile_rows`` fingerprints is dealt into tiles, and
-    every two tiles meet in a task of their own: no task holds more than two
-    tiles and no pair of the bucket is missed.
+    No task holds more than about two tiles, and no pair of a bucket is missed
+    that is not connected otherwise.
     """
-    rows = nodes.select("node", "fp", F.explode("keys").alias("key"))
+    rows = nodes.select("node", "fp", F.lit(1).cast("long").alias("size"), F.explode("keys").alias("key"))
     counts = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    dealt = rows.join(counts, "key").withColumn("tiles", F.ceil(F.col("n") / tile_rows).cast("int"))
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda other: F.least(other, mine) * F.col("tiles") + F.greatest(other, mine))
-    dealt = dealt.select("key", F.explode(F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(meets)).alias("tile"), "node", "fp")
-    shuffled = dealt.repartition("key", "tile").sortWithinPartitions("key", "tile")
-    return shuffled.mapInArrow(_bucket_links(limit), "a long, b long")
+    rows = rows.join(counts, "key").withColumn("tiles", _tiles(F.col("n"), F.col("n"), tile_rows, tile_rows)).drop("n")
+
+    def found(places: DataFrame) -> DataFrame:
+        sent = places.select("key", "tile", "component", "fp")
+        return sent.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(_bucket_links(limit), "a long, b long")
+
+    return _two_rounds(rows, found, tile_rows, tile_rows)
+
+
+def _two_rounds(rows: DataFrame, found: Callable[[DataFrame], DataFrame], tile_rows: int, tile_size: int) -> DataFrame:
+    """Edges of the first meetings of (key, node, size, tiles, ...) and, where buckets have several tiles, of the second."""
+    rows = frames.written(rows, "bucket-rows")
+    edges = frames.written(found(_alone(rows)), "links")
+    if rows.filter("tiles > 1").limit(1).count():
+        joined = frames.written(components(edges), "first-components")
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+        edges = stars.unionByName(found(_second(rows, joined, tile_rows, tile_size)))
+    return edges
 
 
-def similar_forest(flat: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+def similar_forest(flat: np.ndarray, sizes: np.ndarray, similarity: float, component: np.ndarray | None = None) -> np.ndarray:
     """A spanning forest of the links (Jaccard similarity of at least ``similarity``) among non-empty sets, as an array of parents.
 
-    ``flat`` holds the sets one after the other.  Rows are ordered by size;
+    ``flat`` holds the sets one after the other; rows of one ``component`` are
+    linked already.  Rows are ordered by size;
     each is held against the larger ones that are not too large and not yet in
     its tree, by counting how many of their members it has.
     """
@@ -260,7 +331,7 @@ def similar_forest(flat: np.ndarray, sizes: np.ndarray, similarity: float) -> np
     moved = np.repeat(begin[order] - off[:-1], size) + np.arange(off[-1])
     values, ids = np.unique(flat[moved], return_inverse=True)
     past = np.searchsorted(size, size / similarity + 1e-9, side="right")
-    tree = np.arange(len(size))
+    tree = _trees(None if component is None else component[order], len(size))
     mark = np.zeros(len(values), np.uint8)
     for i in range(len(size)):
         rows = i + 1 + np.flatnonzero(tree[i + 1 : past[i]] != tree[i])
@@ -286,32 +357,31 @@ def similar_forest(flat: np.ndarray, sizes: np.ndarray, similarity: float) -> np
 
 
 def _similar_links(similarity: float):
-    """For sorted (key, tile, node, shingles) rows: edges (a, b) of the forests of each bucket, one bucket in memory at a time."""
-    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """For sorted (key, tile, component, shingles) rows: edges of the forests of each meeting, one meeting in memory at a time."""
 
-    def bucket(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        node, sizes, flat = (np.concatenate([r[k] for r in rows]) for k in range(3))
-        up = similar_forest(flat, sizes, similarity) if len(node) > 1 else np.zeros(1, np.int64)
-        linked = up != np.arange(len(node))
-        if linked.any():
-            yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[up[linked]])], schema=fields)
+    def meeting(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        component, sizes, flat = (np.concatenate([r[k] for r in rows]) for k in range(3))
+        if len(component) > 1 and (component != component[0]).any():
+            edges = _edges(component, similar_forest(flat, sizes, similarity, component))
+            if edges:
+                yield edges
 
     def run(batches):
         held, last = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, tile, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            key, tile, component = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             sizes = pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
             off = np.concatenate(([0], np.cumsum(sizes)))
             edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]))))
             for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
                 if (key[a], tile[a]) != last:
-                    yield from bucket(held) if held else ()
+                    yield from meeting(held) if held else ()
                     held, last = [], (key[a], tile[a])
-                held.append((node[a:b].copy(), sizes[a:b], flat[off[a] : off[b]].copy()))
-        yield from bucket(held) if held else ()
+                held.append((component[a:b].copy(), sizes[a:b], flat[off[a] : off[b]].copy()))
+        yield from meeting(held) if held else ()
 
     return run
 
@@ -320,21 +390,16 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
     """Edges (a, b) that connect what pairs of ``similarity`` and more connect, of nodes (node, at, keys, size).
 
     ``docs``: doc_id, text and its hash, by which the row of a node is found
-    (``at``: id and hash).  Of buckets with the same members one is looked at;
-    large ones are dealt into tiles as in :func:`links`.  Only documents of
-    shared buckets are shingled again, and their sets alone go to the buckets.
+    (``at``: id and hash).  Of buckets with the same members one is looked at.
+    Only documents of shared buckets are shingled again, and their sets alone
+    go to the buckets.
     """
     rows = nodes.filter("size > 0").select("node", "size", F.explode("keys").alias("key"))
     member = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in range(2)]
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), *member).filter("n > 1")
     shared = shared.groupBy("n", "total", "h0", "h1").agg(F.min("key").alias("key"))
-    tiles = F.ceil(F.greatest(F.col("n") / tile_rows, F.col("total") / tile_shingles)).cast("int")
-    dealt = rows.join(shared.select("key", tiles.alias("tiles")), "key")
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda other: F.least(other, mine) * F.col("tiles") + F.greatest(other, mine))
-    places = dealt.groupBy("node").agg(F.flatten(F.collect_list(F.transform(meets, lambda tile: F.struct("key", tile.alias("tile"))))).alias("places"))
-    found = nodes.select("node", "at.doc_id", "at.hash").join(places, "node")
-    source = docs.alias("d").join(found.alias("f"), F.col("d.hash").eqNullSafe(F.col("f.hash")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "places", "text")
+    tiles = _tiles(F.col("n"), F.col("total"), tile_rows, tile_shingles).alias("tiles")
+    rows = rows.join(shared.select("key", tiles), "key")
 
     def run(batch: pa.RecordBatch) -> dict:
         made = []
@@ -344,24 +409,67 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
             made.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(distinct.view(np.int64))))
         return {"shingles": pa.concat_arrays(made)}
 
-    sets = frames.map_batches(source, [("shingles", T.ArrayType(T.LongType(), False))], run, keep=["node", "places"])
-    sent = sets.select("node", "shingles", F.explode("places").alias("p")).select("p.key", "p.tile", "node", "shingles")
-    return sent.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(_similar_links(similarity), "a long, b long")
+    def found(meetings: DataFrame) -> DataFrame:
+        places = meetings.groupBy("node", "component").agg(F.collect_list(F.struct("key", "tile")).alias("places"))  # a node has BANDS keys
+        places = frames.written(places, "places")
+        of = places.select("node").join(nodes.select("node", F.struct("at.doc_id", "at.hash").alias("at")), "node")
+        texts = docs.select(F.struct("doc_id", "hash").alias("at"), "text").join(_bounded(of), "at").select("node", "text")
+        sets = frames.map_batches(texts.join(places, "node"), [("shingles", T.ArrayType(T.LongType(), False))], run, keep=["component", "places"])
+        sent = sets.select("component", "shingles", F.explode("places").alias("p")).select("p.key", "p.tile", "component", "shingles")
+        return sent.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(_similar_links(similarity), "a long, b long")
+
+    return _two_rounds(rows, found, tile_rows, tile_shingles)
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Rows of a few longs, to be broadcast if there are at most BROADCAST_ROWS of them."""
+    rows = frames.written(rows, "picked")
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def _similar(docs: DataFrame, words: int, lanes: int, similarity: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
-    """The fingerprints of ``docs``, and the component of each shingle set: (digest, component_id)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
-    prints = fingerprints(docs, words, lanes, keep=("hash",), sets=True).withColumn("row", F.monotonically_increasing_id())
-    prints = frames.written(prints, "fingerprints")
+    """Written rows of ``docs`` (doc_id, hash, fp, print) and the component of each print, its shingle set's digest."""
+    prints = fingerprints(docs, words, lanes, keep=("hash",), sets=True).withColumnRenamed("digest", "print")
+    prints = frames.written(prints.withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     # One node for each shingle set, named apart from the ids; copies stop here.
     at = F.struct("doc_id", "hash")
-    nodes = prints.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.min(F.when(F.col("doc_id").isNotNull(), at)).alias("named"), F.min(at).alias("any"), F.min("keys").alias("keys"), F.min("size").alias("size"))
-    nodes = frames.written(nodes.select("digest", "node", "least", F.coalesce("named", "any").alias("at"), "keys", "size"), "nodes")
-    joined = components(similar_links(docs, nodes, words, similarity, tile_rows))
-    member = frames.written(nodes.join(joined, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component")), "members")
+    nodes = prints.groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.min(at).alias("at"), F.min("keys").alias("keys"), F.min("size").alias("size"))
+    nodes = frames.written(nodes, "nodes")
+    return prints, _members(nodes, similar_links(docs, nodes, words, similarity, tile_rows))
+
+
+def _close(docs: DataFrame, words: int, lanes: int, limit: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The same where fingerprints within ``limit`` bits link; the print is the fingerprint."""
+    prints = fingerprints(docs, words, lanes, 5, 2, keep=("hash",)).withColumn("row", F.monotonically_increasing_id())
+    prints = frames.written(prints.withColumn("print", F.col("fp")), "fingerprints")
+    # One node for each fingerprint and key set; copies stop here.
+    nodes = prints.groupBy("print", "fp", "keys").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
+    nodes = frames.written(nodes, "nodes")
+    edges = links(nodes, limit, tile_rows)
+    if lanes > 1:  # equal fingerprints of unlike key sets
+        least = nodes.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
+        edges = edges.unionByName(nodes.join(least, "fp").select(F.col("node").alias("a"), "b"))
+    return prints, _members(nodes, edges)
+
+
+def _members(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(print, component, component_id) of nodes (print, node, least): the smallest id of a component names it."""
+    joined = components(edges)
+    member = nodes.join(joined, "node", "left").select("print", "least", F.coalesce("component", "node").alias("component"))
+    member = frames.written(member, "members")
     least = frames.written(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
-    return prints, member.join(least, "component").select("digest", "component_id")
+    member = member.groupBy("print").agg(F.min("component").alias("component"))
+    # Written, so that both sides of a join with all rows come straight from a shuffle, which splits a hot print.
+    return frames.written(member.join(least, "component").select("print", "component", "component_id"), "components")
+
+
+def _grouped(docs: DataFrame, words: int, lanes: int, limit: int | None, similarity: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    if lanes == 1 and limit is None:
+        raise ValueError("similarity needs more lanes, one lane a limit")
+    if lanes == 1 and limit > 3:
+        raise ValueError("block keys find up to 3 differing bits; use more lanes")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    return _similar(docs, words, lanes, similarity, tile_rows) if limit is None else _close(docs, words, lanes, limit, tile_rows)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int | None = None, similarity: float = 0.8, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -372,42 +480,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int
     more: bands of minima find the candidates (a pair at 0.8 is missed with
     probability 3e-5) and each link is confirmed on the sets.
 
-    Texts without words have fingerprint zero and link like others.  Null ids:
-    such rows are linked among the others but a null is never a component's
-    name unless all its ids are null (component_id null).  Rows of one id are
-    one document and come back each.  Other columns are not looked at.
+    Texts without words have fingerprint zero and link like others.  Rows with
+    a null id link like others, but a null names a component only if all its
+    ids are null (component_id null).  Repeated rows and rows of one id come
+    back each, by their own texts.  Other columns are not looked at.
     """
     text = F.concat(*[F.lpad(F.lower(F.hex(F.col("fp")[k])), 16, "0") for k in range(lanes)])
-    if limit is None:
-        if lanes == 1:
-            raise ValueError("similarity needs more lanes, one lane a limit")
-        prints, named = _similar(docs, words, lanes, similarity, tile_rows)
-        named = frames.written(named, "components")
-        return prints.select("doc_id", "fp", "digest").join(named, "digest", "left").select("doc_id", text.alias("fingerprint"), "component_id")
-    agree = 2 if lanes == 1 else 0
-    if lanes == 1 and limit > 3:
-        raise ValueError("block keys find up to 3 differing bits; use more lanes")
-    prints = frames.written(fingerprints(docs, words, lanes, 5, agree), "fingerprints")
-    # One node for each fingerprint and key set; copies stop here.
-    nodes = frames.written(prints.groupBy("fp", "keys").agg(F.min("doc_id").alias("node")).filter("node is not null"), "nodes")
-    edges = links(nodes, limit, tile_rows)
-    if lanes > 1:  # equal fingerprints of unlike key sets
-        least = nodes.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
-        edges = edges.unionByName(nodes.join(least, "fp").select(F.col("node").alias("a"), "b"))
-    joined = components(edges)
-    named = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")).groupBy("fp").agg(F.min("component_id").alias("component_id"))
-    named = frames.written(named, "components")  # both sides of the join below then come straight from a shuffle, which splits a hot fingerprint
-    return prints.select("doc_id", "fp").join(named, "fp", "left").select("doc_id", text.alias("fingerprint"), "component_id")
+    prints, member = _grouped(docs, words, lanes, limit, similarity, tile_rows)
+    return prints.select("doc_id", "fp", "print").join(member, "print").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int | None = None, similarity: float = 0.8) -> DataFrame:
-    """One document of each near-duplicate group: the one whose doc_id names the component.
+def keep_one(docs: DataFrame, words: int = 5, lanes: int = 4, limit: int | None = None, similarity: float = 0.8, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One document of each near-duplicate group: the one of smallest doc_id (null ids last, then by a hash of the text).
 
-    Repeated rows of that id are reduced to one.  Rows with a null id have no
-    name to be found by: of those with equal texts one stays.
+    Rows of one id and different texts are documents of their own; repeated
+    rows are reduced to one.  Input columns are carried as they are.
     """
-    groups = near_duplicates(docs.filter("doc_id is not null"), words, lanes, limit, similarity)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    nameless = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256))
-    left = docs.join(gone, "doc_id", "left_anti").withColumn("__quillon_nameless", nameless)
-    return left.dropDuplicates(["doc_id", "__quillon_nameless"]).select(docs.columns)
+    prints, member = _grouped(docs, words, lanes, limit, similarity, tile_rows)
+    at = F.struct(F.col("doc_id").cast("long").alias("doc_id"), "hash")
+    rows = prints.select("doc_id", "hash", "print").join(member, "print").groupBy("doc_id", "hash", "component").agg(F.count("*").alias("n"))
+    rows = frames.written(rows, "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash")
+    first = rows.groupBy("component").agg(F.min(order).alias("first"))
+    stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("hash") == F.col("first.hash"))
+    gone = _bounded(rows.join(first, "component").filter(~stays).select(at.alias("__quillon_at")))
+    left = docs.withColumn("__quillon_at", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash")))
+    left = left.join(gone, "__quillon_at", "left_anti")
+    if rows.filter("n > 1").limit(1).count():
+        left = left.dropDuplicates(["__quillon_at"])
+    return left.select(docs.columns)
