@@ -18,31 +18,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: What the exchanges of `conversations` have to satisfy.
-REPLY = {"reply": {"type": "object", "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 2000}, "turn": {"type": "integer", "minimum": 0}}, "required": ["prompt", "turn"], "additionalProperties": False}}
+#: What the exchanges of `conversations` have to satisfy; long prompts and late turns do not.
+REPLY = {
+    "reply": {
+        "type": "object",
+        "properties": {
+            "prompt": {
+                "type": "object",
+                "properties": {"text": {"type": "string", "minLength": 1, "maxLength": 400}, "tags": {"type": "array", "items": {"enum": ["user"]}}},
+                "required": ["text", "tags"],
+                "additionalProperties": False,
+            },
+            "turn": {"type": "integer", "minimum": 0, "maximum": 5},
+        },
+        "required": ["prompt", "turn"],
+        "additionalProperties": False,
+    }
+}
 
 
-def exchanges(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`conversations` as calls and results: a user turn calls ``reply``, the assistant turn after it is the result.
+def marked_up(messages: DataFrame) -> DataFrame:
+    """`conversations`, which hold no tool calls, as messages with marked-up ones; every row becomes one or two.
 
-    Every later call of a conversation waits for its first one.
+    A user turn calls ``reply`` with its text as a nested argument and waits
+    for the two exchanges before it; the assistant turn after it is the result;
+    a system turn is a result that nobody asked for.  In one conversation of 50
+    the exchanges wait for the next one too, which closes cycles; in one of
+    seven each call is marked twice.
     """
-    rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    name = lambda turn: F.concat(F.lit("c"), turn.cast("string"))
-    users = rows.filter("role = 'user'")
-    first = users.groupBy("conv_id").agg(F.min("turn").alias("_first"))
-    calls = users.join(first, "conv_id", "left").select(
-        "conv_id", "turn", F.lit(0).alias("seq"), name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"),
-        F.to_json(F.struct(F.col("text").alias("prompt"), "turn")).alias("arguments"),
-        F.when(F.col("turn") > F.col("_first"), F.array(name(F.col("_first")))).otherwise(F.array().cast("array<string>")).alias("after"),
-    )
-    results = rows.filter("role = 'assistant'").select("conv_id", "turn", F.lit(0).alias("seq"), name(F.col("turn") - 1).alias("call_id"), F.to_json(F.struct("text")).alias("content"))
-    return calls, results
+    conv, turn, role = F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role")
+    name = lambda k: F.concat(F.lit("c"), k.cast("string"))
+    mark = lambda tag, x: F.concat(F.lit(f"<{tag}>"), F.replace(F.to_json(x), F.lit("<"), F.lit("\\u003c")), F.lit(f"</{tag}>"))
+    after = F.array_compact(F.array(name(turn - 2), name(turn - 4), F.when(conv % 50 == 3, name(turn + 2))))
+    arguments = F.struct(F.struct("text", F.array(role).alias("tags")).alias("prompt"), turn.alias("turn"))
+    call = mark("tool_call", F.struct(name(turn).alias("id"), F.lit("reply").alias("name"), arguments.alias("arguments"), after.alias("after")))
+    result = lambda of: mark("tool_result", F.struct(of.alias("id"), F.struct("text").alias("content")))
+    text = F.when(role == "user", F.when(conv % 7 == 0, F.concat(call, F.lit(" again: "), call)).otherwise(call))
+    text = text.when(role == "assistant", result(name(turn - 1))).otherwise(result(F.concat(F.lit("s"), turn.cast("string"))))
+    return messages.select(conv.alias("conv_id"), turn.alias("turn"), F.when(role == "user", "assistant").otherwise("tool").alias("role"), text.alias("text"))
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every exchange of `conversations` linked, ordered, validated and serialised."""
-    linked = chat_format.link(*exchanges(table(spark, sf_dir, "conversations")), REPLY)
+    """Every exchange of `conversations` parsed, linked, ordered, validated and serialised."""
+    linked = chat_format.link(*chat_format.parse(marked_up(table(spark, sf_dir, "conversations"))), REPLY)
     return linked.select("conv_id", "call_id", "turn", "result_turn", "status", "level", F.size("errors").alias("n_errors"), F.sha2("canonical_json", 256).alias("json_sha256"))
 
 
@@ -87,9 +105,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of `documents` that are left after the forest's removal of false positives; trained on the built-in labelled findings."""
-    model = secret_scan.train(secret_scan.seed_findings(spark))
-    return secret_scan.scan(table(spark, sf_dir, "documents"), model).filter("is_secret")
+    """Every candidate of `documents` with its score and whether it is a secret; trained on the built-in labelled findings."""
+    docs = table(spark, sf_dir, "documents")
+    corpus = secret_scan.learn_corpus(docs)
+    model = secret_scan.train(secret_scan.seed_findings(spark, secret_scan.frequent(corpus)), corpus)
+    return secret_scan.scan(docs, model)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -100,14 +120,21 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
-    "op1_chat_format": """WITH u AS (SELECT conv_id, turn, text, 'c' || turn AS call_id, min(turn) OVER (PARTITION BY conv_id) AS first_turn FROM conversations WHERE role = 'user'),
- a AS (SELECT conv_id, turn AS result_turn, text AS content, 'c' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
- j AS (SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.call_id, a.call_id) AS call_id, turn, result_turn, text, content, first_turn,
- CASE WHEN turn IS NULL THEN 'orphan' WHEN result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, CASE WHEN turn IS NULL OR length(text) BETWEEN 1 AND 2000 THEN 0 ELSE 1 END AS n_errors
- FROM u FULL OUTER JOIN a ON u.conv_id = a.conv_id AND u.call_id = a.call_id)
- SELECT conv_id, call_id, turn, result_turn, status, CASE WHEN turn = first_turn THEN 0 WHEN turn IS NOT NULL THEN 1 END AS level, n_errors,
- sha256('{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE '{' || coalesce('"prompt":' || CAST(to_json(text) AS VARCHAR) || ',', '') || '"turn":' || turn || '}' END || ',"id":"' || call_id || '","name":' || CASE WHEN turn IS NULL THEN 'null' ELSE '"reply"' END
- || ',"result":' || CASE WHEN result_turn IS NULL THEN 'null' ELSE '{' || coalesce('"text":' || CAST(to_json(content) AS VARCHAR), '') || '}' END || ',"status":"' || status || '","valid":' || CASE WHEN n_errors = 0 THEN 'true' ELSE 'false' END || '}') AS json_sha256 FROM j""",
+    # Levels come from islands of turns, not from the calls' own links.
+    "op1_chat_format": """WITH gaps AS (SELECT *, coalesce(turn - lag(turn) OVER w > 4, TRUE) AS fresh FROM conversations WHERE role = 'user' WINDOW w AS (PARTITION BY conv_id, turn % 2 ORDER BY turn)),
+ islands AS (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM gaps),
+ places AS (SELECT *, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY conv_id, turn % 2, island) AS size FROM islands WINDOW w AS (PARTITION BY conv_id, turn % 2, island ORDER BY turn)),
+ asked AS (SELECT conv_id, turn, 'c' || turn AS call_id, text, CASE WHEN conv_id % 50 <> 3 OR size = 1 THEN place END AS level,
+ CASE WHEN length(text) BETWEEN 1 AND 400 THEN 0 ELSE 1 END + CASE WHEN turn > 5 THEN 1 ELSE 0 END AS n_errors FROM places),
+ told AS (SELECT conv_id, turn AS result_turn, text AS content, CASE WHEN role = 'assistant' THEN 'c' || (turn - 1) ELSE 's' || turn END AS call_id FROM conversations WHERE role <> 'user'),
+ j AS (SELECT conv_id, call_id, turn, result_turn, level, coalesce(n_errors, 0) AS n_errors, text, content,
+ CASE WHEN turn IS NULL THEN 'orphan' WHEN result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status FROM asked FULL OUTER JOIN told USING (conv_id, call_id)
+ UNION ALL SELECT conv_id, call_id, turn, NULL, NULL, n_errors, text, NULL, 'repeated' FROM asked WHERE conv_id % 7 = 0)
+ SELECT conv_id, call_id, turn, result_turn, status, CAST(level AS INT) AS level, CAST(n_errors AS INT) AS n_errors, sha256('{"arguments":' ||
+ CASE WHEN turn IS NULL THEN 'null' ELSE '{"prompt":{"tags":["user"]' || coalesce(',"text":' || CAST(to_json(text) AS VARCHAR), '') || '},"turn":' || turn || '}' END ||
+ ',"id":"' || call_id || '","name":' || CASE WHEN turn IS NULL THEN 'null' ELSE '"reply"' END ||
+ ',"result":' || CASE WHEN result_turn IS NULL THEN 'null' ELSE '{' || coalesce('"text":' || CAST(to_json(content) AS VARCHAR), '') || '}' END ||
+ ',"status":"' || status || '","valid":' || CASE WHEN n_errors = 0 THEN 'true' ELSE 'false' END || '}') AS json_sha256 FROM j""",
     "op2_line_dedup": f"""WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
  l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM split),
  k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),
