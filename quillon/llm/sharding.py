@@ -1,39 +1,45 @@
 """Sharding by a k-d tree over document metadata.
 
 Documents of equal text form a group that stays in one shard.  Groups are
-summed into cells of a grid over their metadata (source, language, length,
-content hash); the tree is grown on the cells: a node that owes k shards is
-cut at the weighted (k // 2) / k quantile of its widest dimension, ties inside
-the crossing value being cut along the content hash, until every leaf is one
-shard and so holds the target bytes.  Everything runs in DataFrame operations;
-what comes to the driver is one histogram of at most SHARDS * GRID rows a level.
+summed into cells of a grid over their metadata: source, language and length.
+A coordinate is the share of all bytes that stands before a value, so widths
+of unlike dimensions compare: a node's width is the share of the corpus
+between its least and its greatest value.  The tree is grown on the cells: a
+node that owes k shards is cut at the weighted (k // 2) / k quantile of its
+widest dimension, ties inside the crossing value being cut along the content
+hash (which is the last dimension where all others have one value), until
+every leaf is one shard and so holds the target bytes.  Everything runs in
+DataFrame operations; what comes to the driver is one histogram of at most
+SHARDS * GRID rows a level.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import frames
 
-#: Values of a dimension's coordinate, and of the content hash that breaks ties.
-GRID, FINE = 256, 4096
-DIMENSIONS = ("source", "lang", "chars", "hash")
-#: Parts in which the slots of a shard are numbered.
-SLOT_PARTS = 64
+#: Values of a dimension's coordinate, bins that names and lengths are counted in, and values of the hash that breaks ties.
+GRID, BINS, FINE = 256, 512, 4096
+METADATA = ("source", "lang", "chars")
+DIMENSIONS = (*METADATA, "hash")
+#: Rows of an average shard that one task numbers.
+SLOT_ROWS = 200_000
 
 
 def _grid(df: DataFrame) -> DataFrame:
-    """Coordinates 0 .. GRID - 1 of every group; groups without a value stand at 0."""
-    name = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(GRID)))
-    return df.select(
-        "h1", "h2", "bytes",
-        name("source").cast("int").alias("source"),
-        name("lang").cast("int").alias("lang"),
-        F.least(F.lit(GRID - 1), F.floor(F.log2(F.col("chars") + 1) * 8)).cast("int").alias("chars"),
-        F.shiftrightunsigned("h2", 56).cast("int").alias("hash"),
-        F.shiftrightunsigned("h1", 52).cast("int").alias("fine"),
-    )
+    """Coordinates 0 .. GRID - 1 of every group; groups without a value stand at the low end."""
+    name = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(BINS - 1))).cast("int")
+    length = F.least(F.lit(BINS - 1), F.floor(F.log2(F.col("chars") + 1) * 8)).cast("int")
+    out = binned = frames.written(df.withColumns({"source": name("source"), "lang": name("lang"), "chars": length}), "binned")
+    for c in METADATA:
+        weights = binned.groupBy(c).agg(F.sum("bytes").alias("w"))  # at most BINS rows
+        running = F.sum("w").over(Window.orderBy(c)) - F.col("w") / 2
+        at = F.least(F.lit(GRID - 1), F.floor(running * GRID / F.sum("w").over(Window.partitionBy()))).cast("int")
+        out = out.join(F.broadcast(weights.select(c, at.alias("_at"))), c).drop(c).withColumnRenamed("_at", c)
+    fine = F.shiftrightunsigned("h1", 52).cast("int")
+    return out.select("h1", "h2", "bytes", "source", "lang", "chars", F.shiftrightunsigned("h1", 56).cast("int").alias("hash"), fine.alias("fine"))
 
 
 def _pick(choices: dict[int, object], node: Column, kind: str, default=None) -> Column:
@@ -61,7 +67,7 @@ def grow(cells: DataFrame, shards: int) -> Column:
         open_nodes = {n: v for n, v in owed.items() if v[1] > 1}
         here = cells.withColumn("node", node).filter(F.col("node").isin(list(open_nodes)))
         spans = here.groupBy("node").agg(F.sum("bytes").alias("total"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).collect()
-        widest = {r["node"]: max(DIMENSIONS, key=lambda d, r=r: (r[d], -DIMENSIONS.index(d))) for r in spans}
+        widest = {r["node"]: max(METADATA, key=lambda d, r=r: r[d]) if any(r[d] for d in METADATA) else "hash" for r in spans}
         total = {r["node"]: r["total"] for r in spans}
         coordinate = F.lit(None).cast("int")
         for n, d in widest.items():
@@ -102,7 +108,8 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     Size is the text's UTF-8 bytes (null: none) plus 8.  Groups of equal texts
     (null equals empty) stay together; one larger than an even share gets a
     shard of its own and the others share the remaining shards.  Slots number
-    a shard's rows from 0 without gaps, by doc_id within parts of a shard.
+    a shard's rows from 0 without gaps, by doc_id within parts of a shard;
+    parts are dealt by row, so rows of one id or none are no large group.
     Documents without source or language stand at the low end of those
     dimensions.  Repeated rows each have a slot; an empty table gives no rows.
     """
@@ -116,6 +123,7 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
         F.xxhash64(F.lit("second"), text).alias("h2"),
         F.char_length(text).cast("long").alias("chars"),
         *[(F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(c) for c in ("source", "lang")],
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = frames.written(rows, "rows")
     groups = rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.min("source").alias("source"), F.min("lang").alias("lang"), F.min("chars").alias("chars"))
@@ -134,17 +142,16 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     cells = groups.filter(own.isNull()).groupBy(*coordinates).agg(F.sum("bytes").alias("bytes"))
     leaf = grow(frames.written(cells, "cells"), shards - len(alone)).select(*coordinates, F.col("shard").alias("leaf"))
     placed = groups.join(leaf, coordinates, "left").select("h1", "h2", F.coalesce(own, F.col("leaf")).alias("shard"))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(SLOT_PARTS)).cast("int").alias("part")
-    dealt = frames.written(rows.select("doc_id", "size", "text_crc32", "h1", "h2", part).join(placed, ["h1", "h2"]).drop("h1", "h2"), "placed")
+    parts = max(1, -(-rows.count() // (shards * SLOT_ROWS)))
+    part = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part")
+    dealt = frames.written(rows.select("doc_id", "size", "text_crc32", "row", "h1", "h2", part).join(placed, ["h1", "h2"]).drop("h1", "h2"), "placed")
     return _slots(dealt).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def _slots(dealt: DataFrame) -> DataFrame:
     """Number rows of a shard: by part, within a part by doc_id, each part starting where the one before ends."""
-    from pyspark.sql import Window
-
     counts = dealt.groupBy("shard", "part").agg(F.count("*").alias("n"))
     start = F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")
-    offsets = counts.select("shard", "part", start.alias("start"))  # SLOT_PARTS rows a shard
-    place = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "size", "text_crc32")) - 1
+    offsets = counts.select("shard", "part", start.alias("start"))  # one row a shard and part
+    place = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "size", "text_crc32", "row")) - 1
     return dealt.withColumn("place", place).join(F.broadcast(offsets), ["shard", "part"]).withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
