@@ -25,6 +25,8 @@ _NONE = np.int32(2**31 - 1)
 CACHE_PIECES = 400_000
 #: Cells of one matrix at most; one longer piece is a matrix of its own.
 MATRIX_CELLS = 1 << 20
+#: Tokens that are decoded together.
+DECODED_TOKENS = 1 << 16
 #: Longer pieces take the single-row form, which merges all places of a pair at once where that is safe.
 LONG_PIECE = 256
 
@@ -34,9 +36,12 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.pattern = regex.compile(pattern)
-        self.vocab = [b""] * (max(ranks.values()) + 1)
+        vocab = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.vocab[rank] = token
+            vocab[rank] = token
+        self.sizes = np.array([len(token) for token in vocab], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(vocab), np.uint8)
         self.ranks = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
@@ -186,7 +191,14 @@ class ByteBPE:
         return [b"".join(map(cache.__getitem__, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocab.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """The bytes of all tokens, copied out of one flat table, some tokens at a time."""
+        every, out = np.frombuffer(ids, "<u4"), []
+        for k in range(0, len(every), DECODED_TOKENS):
+            at = every[k : k + DECODED_TOKENS]
+            sizes = self.sizes[at]
+            place = np.repeat(self.begins[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            out.append(self.bytes[place].tobytes())
+        return b"".join(out)
 
 
 _loaded: dict[tuple[str, str], ByteBPE] = {}

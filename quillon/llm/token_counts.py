@@ -1,8 +1,8 @@
 """Token counts through a digest cache.
 
-Counts are stored under (content digest, tokenizer digest).  Documents whose
-digest is stored are answered by a join; of the others each distinct text is
-encoded once and appended to the cache.  Content is normalised by taking null
+Counts are stored under (content digest, tokenizer digest), one folder for each
+tokenizer.  Documents whose digest is stored are answered by a join; of the
+others each distinct text is encoded once and appended to the cache.  Content is normalised by taking null
 as the empty text only: any stronger form could change the library's count.
 """
 
@@ -21,7 +21,7 @@ from quillon.llm import frames
 
 #: Segments whose counts a worker remembers before it starts anew; bounds memory, not the result.
 CACHE_SEGMENTS = 400_000
-_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
+_COUNTS = "content_digest binary, n_tokens long"
 _SEGMENT = re.compile("[ ▁]+[^ ▁]*")
 
 
@@ -77,12 +77,24 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def _stored(spark, cache_path: str) -> DataFrame:
-    """The cache's rows; an append that was repeated after a failure counts once."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
+def _stored(spark, cache_path: str, version: str) -> DataFrame:
+    """The cache's rows for one tokenizer."""
+    where = f"{cache_path.rstrip('/')}/tokenizer_digest={version}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], _SCHEMA)
-    return spark.read.schema(_SCHEMA).parquet(cache_path)
+        return spark.createDataFrame([], _COUNTS)
+    return spark.read.schema(_COUNTS).parquet(where)
+
+
+def append(counts: DataFrame, cache_path: str) -> None:
+    """Add rows (content_digest, tokenizer_digest, n_tokens) to a cache."""
+    counts.write.mode("append").partitionBy("tokenizer_digest").parquet(cache_path)
+
+
+def compact(spark, cache_path: str, version: str, target: str) -> None:
+    """Write one tokenizer's rows of a cache to the cache ``target``, each digest once."""
+    rows = _stored(spark, cache_path, version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    append(rows.withColumn("tokenizer_digest", F.lit(version)), target)
 
 
 def count_tokens(docs: DataFrame, path: str, cache_path: str, limit: int = 4096) -> DataFrame:
@@ -96,7 +108,8 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, limit: int = 4096)
     version = tokenizer_digest(path)
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("content_digest"))
-    stored = _stored(spark, cache_path).filter(F.col("tokenizer_digest") == version)
+    stored = _stored(spark, cache_path, version)
+    first_run = not stored.inputFiles()
     distinct = keyed.select("content_digest", "text").dropDuplicates(["content_digest"])  # each task sends a text once
     misses = distinct.join(stored, "content_digest", "left_anti")
 
@@ -113,8 +126,12 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, limit: int = 4096)
         return {"tokenizer_digest": [version] * len(n), "n_tokens": np.array(n, np.int64)}
 
     fresh = frames.map_batches(misses, [("tokenizer_digest", T.StringType()), ("n_tokens", T.LongType())], run, keep=["content_digest"])
-    fresh.write.mode("append").parquet(cache_path)
-    counts = _stored(spark, cache_path).filter(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
-    counts = frames.written(counts, "known-counts")  # both sides of the join then come straight from a shuffle, which splits a hot text
+    append(fresh, cache_path)
     small = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content_digest"))
+    counts = _stored(spark, cache_path, version)
+    if not first_run:  # of an older cache only this run's digests go on
+        counts = counts.join(small.select("content_digest").distinct(), "content_digest", "left_semi")
+    # An append that was repeated after a failure counts once.
+    counts = counts.groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = frames.written(counts, "known-counts")  # both sides of the join then come straight from a shuffle, which splits a hot text
     return small.join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
