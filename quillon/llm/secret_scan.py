@@ -86,16 +86,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, word_at, word, before (three words), after (one word), nth (in the word) and core of every candidate."""
     words = F.split(F.coalesce("text", F.lit("")), SPACES)
 
-    def look(w: Column, i: Column) -> Column:
-        at = lambda k: F.coalesce(F.get(F.col("_words"), i + k), F.lit(""))
-        near = at(-1).rlike(ASSIGNED) | at(-1).rlike(ANNOUNCING) | w.rlike(r"[=:]['\"]?[A-Za-z0-9]") | (at(-1).rlike("^[=:]+>?$") & at(-2).rlike(ANNOUNCING))
-        near = near & w.rlike(SHORT)
-        before = F.concat_ws(" ", at(-3), at(-2), at(-1))
-        found = F.struct(i.alias("word_at"), w.alias("word"), before.alias("before"), at(1).alias("after"), near.alias("near"))
-        return F.when((F.length(w) >= LEAST_LENGTH) & (near | ((F.length(w) >= 16) & w.rlike(LONG))), found)
-
-    found = docs.select("doc_id", words.alias("_words")).select("doc_id", F.filter(F.transform("_words", look), lambda x: x.isNotNull()).alias("_found"))
-    each = found.filter(F.size("_found") > 0).select("doc_id", F.explode("_found").alias("f")).select("doc_id", "f.*")
+    def look(words: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            at = lambda k: F.coalesce(F.get(words, i + k), F.lit(""))
+            near = at(-1).rlike(ASSIGNED) | at(-1).rlike(ANNOUNCING) | w.rlike(r"[=:]['\"]?[A-Za-z0-9]") | (at(-1).rlike("^[=:]+>?$") & at(-2).rlike(ANNOUNCING))
+            near = near & w.rlike(SHORT)
+            before = F.concat_ws(" ", at(-3), at(-2), at(-1))
+            found = F.struct(i.alias("word_at"), w.alias("word"), before.alias("before"), at(1).alias("after"), near.alias("near"))
+            return F.when((F.length(w) >= LEAST_LENGTH) & (near | ((F.length(w) >= 16) & w.rlike(LONG))), found)
+
+        return F.filter(F.transform(words, one), lambda x: x.isNotNull())
+
+    # The words are bound to a variable, else each look at a neighbour would split the text again; and the condition, which
+    # always holds, keeps the optimizer from searching a second time for its filter on empty arrays.
+    found = F.when(F.monotonically_increasing_id() >= 0, F.get(F.transform(F.array(words), look), 0))
+    each = docs.select("doc_id", found.alias("_found")).select("doc_id", F.explode("_found").alias("f")).select("doc_id", "f.*")
     short, long = (F.regexp_extract_all("word", F.lit(f"({p})"), F.lit(1)) for p in (SHORT, LONG))
     cores = F.when(F.col("near"), short).otherwise(F.filter(long, lambda x: x.rlike("[0-9]")))
     return each.select("doc_id", "word_at", "word", "before", "after", F.posexplode(cores).alias("nth", "core"))
@@ -106,7 +111,7 @@ def _shape(found: DataFrame, transitions: list[float]) -> DataFrame:
     core, n = F.col("core"), F.length("core")
     share = lambda pattern: F.regexp_count(core, F.lit(pattern)) / n
     letter = lambda i: F.ascii(F.substring(F.lower(core), i, 1)) - 97
-    table = F.lit(transitions)
+    table = F.split(F.lit(" ".join(map(repr, transitions))), " ").cast("array<double>")  # one literal once folded
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.when(letter(i).between(0, 25) & letter(i + 1).between(0, 25), F.get(table, letter(i) * 26 + letter(i + 1))))
     known = F.array_compact(pairs)
     likeness = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)).otherwise(-math.log(26))
@@ -176,7 +181,8 @@ def train(labelled: DataFrame, corpus: Corpus, sample_rows: int = SAMPLE_ROWS) -
     kinds = [r["label"] for r in rows.select("label").distinct().collect()]
     if len(kinds) < 2:
         return Model(None, float(kinds[0]) if kinds else None, weights, corpus)
-    vectors = _vectors(with_features(rows, corpus, weights)).select("features", F.col("label").cast("double").alias("label"))
+    made = frames.written(with_features(rows, corpus, weights).select("label", *FEATURES), "features")  # training goes over them often
+    vectors = _vectors(made).select("features", F.col("label").cast("double").alias("label"))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(vectors)
     return Model(forest, None, weights, corpus)
 
@@ -226,53 +232,65 @@ def seed_findings(spark: SparkSession, words: list[str], rows: int = 6000) -> Da
     """
     words = words or list(NO_WORDS)
     i = F.col("id")
-    pick = lambda salt, *xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64(F.lit(salt), i), F.lit(len(xs))) + 1).cast("int"))
-    sha = lambda salt: F.sha2(F.concat(F.lit(salt), i.cast("string")), 512)
-    b64 = F.regexp_replace(F.base64(F.unhex(sha("b"))), "=+$", "")
+    pick = lambda salt, *xs: F.element_at(F.split(F.lit("\x00".join(map(str, xs))), "\x00"), (F.pmod(F.xxhash64(F.lit(salt), i), F.lit(len(xs))) + 1).cast("int"))
     size = lambda salt, low, high: (F.pmod(F.xxhash64(F.lit(salt), i), F.lit(high - low + 1)) + low).cast("int")
-    cut = lambda text, n: F.substring(text, F.lit(1), n)
-    digits = F.regexp_replace(F.concat(F.abs(F.xxhash64(F.lit("d"), i)).cast("string"), F.abs(F.xxhash64(F.lit("e"), i)).cast("string")), "^0", "1")
-    word = lambda salt: pick(salt, *words)
-    kind = F.pmod(F.xxhash64(F.lit("kind"), i), F.lit(8))
-    real_kind = F.when(kind < 3, "hex").when(kind == 3, "upper_hex").when(kind < 6, "base64").when(kind == 6, "prefixed").otherwise("password")
-    key = (
-        F.when(kind < 3, cut(sha("a"), pick("n", 32, 40, 64)))
-        .when(kind == 3, F.upper(cut(sha("a"), pick("n", 32, 40))))
-        .when(kind < 6, cut(b64, size("m", 20, 64)))
-        .when(kind == 6, F.concat(pick("p", "pk_", "ak-", "live_"), cut(b64, size("m", 20, 40))))
-        .otherwise(F.concat(cut(b64, size("m", 5, 9)), pick("mark", "!", "@", "$", "%", "9"), cut(sha("g"), size("m2", 3, 6))))
-    )
+    sha = lambda salt: F.sha2(F.concat(F.lit(salt), i.cast("string")), 512)
+    whole = lambda salt: F.abs(F.xxhash64(F.lit(salt), i)).cast("string")
     name = F.concat(pick("w", "api_", "access_", "", "auth_", "client_"), pick("v", "token", "key", "secret", "password", "credential"))
-    name = F.when(F.pmod(F.xxhash64(F.lit("up"), i), F.lit(4)) == 0, F.upper(name)).otherwise(name)
-    quote = pick("q", '"', "'", '"', "")
-    tail = pick("t", "", ",", ";", ".", "!!", "###")
-    sign = pick("s", "=", ":", ":=", "=")
-    inside = F.pmod(F.xxhash64(F.lit("in"), i), F.lit(4)) == 0  # name=key in one word
-    real = F.struct(
-        key.alias("core"),
-        F.when(inside, F.concat(name, F.lit("="), quote, key, quote, tail)).otherwise(F.concat(quote, key, quote, tail)).alias("word"),
-        F.when(inside, F.concat_ws(" ", word("x"), word("x2"), word("x3"))).otherwise(F.concat_ws(" ", word("x"), name, sign)).alias("before"),
-        word("y").alias("after"),
-        F.lit(1).alias("label"),
-        real_kind.alias("kind"),
+    base = {
+        "hex": sha("a"),
+        "other_hex": sha("c"),
+        "b64": F.regexp_replace(F.base64(F.unhex(sha("b"))), "=+$", ""),
+        "digits": F.regexp_replace(F.concat(whole("d"), whole("e")), "^0", "1"),
+        "kind": size("kind", 0, 7),
+        "name": F.when(size("up", 0, 3) == 0, F.upper(name)).otherwise(name),
+        "n_hex": pick("n", 32, 40, 64).cast("int"),
+        "n_b64": size("m", 20, 64),
+        "n_digits": pick("n2", 16, 16, 19).cast("int"),
+        "quote": pick("q", '"', "'", '"', ""),
+        "tail": pick("t", "", ",", ";", ".", "!!", "###"),
+        "sign": pick("s", "=", ":", ":=", "="),
+        "inside": size("in", 0, 3) == 0,  # name=key in one word
+        "password": F.concat(F.substring(F.base64(F.unhex(sha("p"))), F.lit(1), size("m1", 5, 9)), pick("mark", "!", "@", "$", "%", "9"), F.substring(sha("g"), F.lit(1), size("m2", 3, 6))),
+        "prefix": pick("p", "pk_", "ak-", "live_"),
+        "joint": pick("j", "_", "-", "/"),
+        "digest_name": pick("l", "commit", "sha256", "checksum", "digest", "revision"),
+        "holder": pick("ph", "your_token_here_", "example_secret_", "changeme_", "xxxxxxxxxxxxxxxx"),
+        "other_name": pick("lw", "token", "secret", "key", "note:"),
+        **{f"w{k}": pick(f"word{k}", *words) for k in range(4)},
+    }
+    made = frames.written(spark.range(0, rows, 1, 4).select("id", *[c.alias(n) for n, c in base.items()]), "seeds")
+    c = F.col
+    cut = lambda text, n: F.substring(c(text), F.lit(1), n if isinstance(n, Column) else F.lit(n))
+    kind, real = c("kind"), c("id") % 2 == 0
+    several = F.concat_ws("", "w0", "joint", "w1", "joint", "w2", "joint", "w3")
+    key = (
+        F.when(kind < 3, cut("hex", c("n_hex")))
+        .when(kind == 3, F.upper(cut("hex", c("n_hex"))))
+        .when(kind < 6, cut("b64", c("n_b64")))
+        .when(kind == 6, F.concat("prefix", cut("b64", F.greatest(c("n_b64") - 20, F.lit(20)))))
+        .otherwise(c("password"))
     )
-    several = lambda salt: F.concat(*[F.concat(word(f"{salt}{k}"), pick(f"j{salt}", "_", "-", "/")) for k in range(3)], word(f"{salt}3"))
-    false_kind = F.when(kind == 0, "digest").when(kind < 3, "number").when(kind == 3, "identifier").when(kind == 4, "path").when(kind == 5, "placeholder").when(kind == 6, "dated").otherwise("word")
     false = (
-        F.when(kind == 0, cut(sha("c"), pick("n", 32, 40, 64)))
-        .when(kind < 3, cut(digits, pick("n2", 16, 16, 19)))
-        .when(kind == 3, F.concat(several("w"), F.lit("-"), cut(digits, F.lit(4))))
-        .when(kind == 4, F.concat(F.lit("/"), several("u"), F.lit("/"), cut(digits, F.lit(2))))
-        .when(kind == 5, F.concat(pick("ph", "your_token_here_", "example_secret_", "changeme_", "xxxxxxxxxxxxxxxx"), cut(digits, F.lit(4))))
-        .when(kind == 6, F.concat(F.lit("2024-01-02_"), several("z")))
-        .otherwise(F.concat(word("l1"), word("l2"), word("l3")))
+        F.when(kind == 0, cut("other_hex", c("n_hex")))
+        .when(kind < 3, cut("digits", c("n_digits")))
+        .when(kind == 3, F.concat(several, F.lit("-"), cut("digits", 4)))
+        .when(kind == 4, F.concat(F.lit("/"), several, F.lit("/"), cut("digits", 2)))
+        .when(kind == 5, F.concat(c("holder"), cut("digits", 4)))
+        .when(kind == 6, F.concat(F.lit("2024-01-02_"), several))
+        .otherwise(F.concat("w0", "w1", "w2"))
     )
+    real_kind = F.when(kind < 3, "hex").when(kind == 3, "upper_hex").when(kind < 6, "base64").when(kind == 6, "prefixed").otherwise("password")
+    false_kind = F.when(kind == 0, "digest").when(kind < 3, "number").when(kind == 3, "identifier").when(kind == 4, "path").when(kind == 5, "placeholder").when(kind == 6, "dated").otherwise("word")
+    made = made.select("*", F.when(real, key).otherwise(false).alias("core"))
+    quoted = F.concat("quote", "core", "quote", "tail")
     lead = (
-        F.when(kind == 0, F.concat_ws(" ", word("f"), word("g"), pick("l", "commit", "sha256", "checksum", "digest", "revision")))
-        .when(kind == 5, F.concat_ws(" ", word("f"), name, F.lit("=")))
-        .when(kind == 7, F.concat_ws(" ", word("f"), word("g"), pick("lw", "token", "secret", "key", "note:")))
-        .otherwise(F.concat_ws(" ", word("f"), word("g"), word("g2")))
+        F.when(kind == 0, F.concat_ws(" ", "w1", "w2", "digest_name"))
+        .when(kind == 5, F.concat_ws(" ", "w1", "name", F.lit("=")))
+        .when(kind == 7, F.concat_ws(" ", "w1", "w2", "other_name"))
+        .otherwise(F.concat_ws(" ", "w1", "w2", "w3"))
     )
-    decoy = F.struct(false.alias("core"), F.concat(false, tail).alias("word"), lead.alias("before"), word("k").alias("after"), F.lit(0).alias("label"), false_kind.alias("kind"))
-    both = F.when(F.pmod(i, F.lit(2)) == 0, real).otherwise(decoy)
-    return spark.range(0, rows, 1, 4).select(both.alias("r")).select("r.*")
+    before = F.when(real & c("inside"), F.concat_ws(" ", "w1", "w2", "w3")).when(real, F.concat_ws(" ", "w1", "name", "sign")).otherwise(lead)
+    word = F.when(real & c("inside"), F.concat(c("name"), F.lit("="), quoted)).when(real, quoted).otherwise(F.concat("core", "tail"))
+    out = made.select("core", word.alias("word"), before.alias("before"), c("w0").alias("after"), real.cast("int").alias("label"), F.when(real, real_kind).otherwise(false_kind).alias("kind"))
+    return frames.written(out, "seed-findings")
