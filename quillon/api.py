@@ -122,7 +122,7 @@ class Workbench:
             monitor.count_drift(index, self.records),
             monitor.config_drift(self.records.withColumn("provenance_hash", F.col("experiment_provenance_hash"))),
             monitor.stale_versions(verdicts, stats_version),
-            monitor.schema_drift(verdicts, self.schema_version),
+            monitor.schema_drift(self.records, verdicts, self.schema_version),
         )
 
     def table(self, verdicts: DataFrame, flags: DataFrame, columns: Sequence[str] = ("verdict",), **filters: object) -> DataFrame:

@@ -274,8 +274,15 @@ def references(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\$\{([^}]+)\}"), F.lit(1))
 
 
+def json_text(c: Column) -> Column:
+    """A string as JSON text, quoted and escaped; null as null."""
+    quoted = F.to_json(F.array(c))
+    return F.when(c.isNull(), "null").otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+
+
 def failure_policy(text: str) -> tuple[str, int]:
-    """Driver side: ``continue``, ``abort`` or ``retry:N`` as (policy, retries)."""
+    """Driver side: ``continue``, ``abort`` or ``retry:N`` as (policy, retries); blanks around and case do not matter."""
+    text = text.strip().lower()
     if text in ("continue", "abort"):
         return text, 0
     if m := re.fullmatch(r"retry:([1-9][0-9]*)", text):

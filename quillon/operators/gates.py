@@ -22,30 +22,42 @@ def floor_check(value: Column, floor: Column | float) -> Column:
 def prior_check(value: Column, prior: Column, least: float) -> Column:
     """Compare with the best earlier value: at least ``least`` times it.
 
-    A ratio of 0 or less turns the check off.  Against a prior of 0 anything
-    that is not lower passes; against a negative prior the value itself must
-    not be lower.
+    A ratio of 0 or less turns the check off.  A prior of 0 is no baseline and
+    passes any value; against a negative prior the value itself must not be
+    lower.
     """
     if least <= 0:
         return F.lit("skip")
     return choose(
         (finite(value).isNull() | finite(prior).isNull(), "skip"),
-        ((prior <= 0) & ge(value, prior), "pass"),
-        (prior <= 0, "fail"),
+        ((prior == 0) | ((prior < 0) & ge(value, prior)), "pass"),
+        (prior < 0, "fail"),
         (ge(F.try_divide(value, prior), F.lit(least)), "pass"),
         otherwise="fail",
     )
 
 
 def cost_check(rmse: Column, mae: Column, breakeven: float) -> Column:
-    """Warn when the error (rmse; mae where that is 0 or missing) is above break-even; skip without either."""
-    error = F.coalesce(F.nullif(finite(rmse), F.lit(0.0)), finite(mae))
-    return choose((error.isNull(), "skip"), (gt(error, F.lit(breakeven)), "warn"), otherwise="pass")
+    """Warn when predictions are too small to trade: their magnitude (rmse; mae where that is 0 or missing) is below break-even.
+
+    Skip without either, and where break-even is 0 or less.
+    """
+    if breakeven <= 0:
+        return F.lit("skip")
+    magnitude = F.coalesce(F.nullif(finite(rmse), F.lit(0.0)), finite(mae))
+    return choose((magnitude.isNull(), "skip"), (ge(magnitude, F.lit(breakeven)), "pass"), otherwise="warn")
 
 
-def sign_flip_check(ic: Column, floor: float, accuracy: Column, p: Column, alpha: float = 0.05) -> Column:
-    """Warn when a good rank correlation comes with a directional accuracy significantly below a coin."""
-    return choose((finite(ic).isNull() | finite(accuracy).isNull(), "skip"), (ge(ic, F.lit(floor)) & lt(accuracy, F.lit(0.5)) & lt(p, F.lit(alpha)), "warn"), otherwise="pass")
+def sign_flip_check(ic: Column, floor: float, accuracy: Column, p: Column, alpha: float = 0.05, primary: Column | str = "ic") -> Column:
+    """Warn when a good rank correlation comes with a directional accuracy significantly below a coin.
+
+    Skip without an accuracy, when the ``primary`` metric's name does not end
+    in "ic", or when the correlation is missing or below its floor (the floor
+    check's case).
+    """
+    primary = F.lit(primary) if isinstance(primary, str) else primary
+    skip = finite(accuracy).isNull() | ~F.coalesce(primary.endswith("ic"), F.lit(False)) | ~ge(ic, F.lit(floor))
+    return choose((skip, "skip"), (lt(accuracy, F.lit(0.5)) & lt(p, F.lit(alpha)), "warn"), otherwise="pass")
 
 
 def roll_up(checks: DataFrame, key: Sequence[str], on_regression: str = "warn", record_only: bool = False) -> DataFrame:
@@ -79,7 +91,8 @@ def _all(*cs: Column) -> Column:
 
 
 def exit_code(verdict: Column) -> Column:
-    return choose((verdict == "GO", 0), (verdict == "ABORT", 2), otherwise=1)
+    """0 GO, 2 ABORT, 3 INCOMPLETE (cells of the sweep are missing), else 1."""
+    return choose((verdict == "GO", 0), (verdict == "ABORT", 2), (verdict == "INCOMPLETE", 3), otherwise=1)
 
 
 def verdict_seeds(mean: Column, ci_low: Column, trimmed: Column, control_ok: Column, invariant_ok: Column, mean_floor: float = 0.01, control_floor: float = -0.005) -> Column:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.scalars import finite_tree
+from quillon.functions.scalars import finite_tree, json_text
 from quillon.functions.semantics import choose, non_empty
 
 #: Keys that tell about a run without changing its outcome; no fingerprint holds them.
@@ -37,7 +37,7 @@ def canonical_hash(document: Column) -> Column:
         def one(text):
             try:
                 return content_hash(json.loads(text))
-            except (TypeError, ValueError):
+            except (TypeError, ValueError, RecursionError):
                 return None
 
         return texts.map(one)
@@ -62,18 +62,21 @@ def fingerprints(flat: DataFrame, key: str, path: str = "path", value: str = "va
     """(key, fingerprint, components) from a long configuration table (key, path, value).
 
     Observed keys go; values equal to their default go, so that a new option
-    leaves old fingerprints alone; what is left is hashed as sorted
-    ``path=value`` lines.  A key without any path left is fingerprinted by its
-    name.
+    leaves old fingerprints alone; what is left is hashed as the JSON text of
+    its sorted (path, value) pairs, with ``value_type`` where the table has
+    one, so no value can pass for another path and 1 is not "1".  A key without
+    any path left is fingerprinted by its name.
     """
     rows = treatment_paths(flat, path)
     for name, default in (defaults or {}).items():
         rows = rows.filter(~((F.col(path) == name) & F.coalesce(F.col(value) == default, F.lit(False))))
     line = F.concat(F.col(path), F.lit("="), F.coalesce(F.col(value), F.lit("null")))
-    lines = rows.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("components"))
+    typed = [F.col("value_type")] if "value_type" in rows.columns else []
+    pair = F.struct(F.col(path).alias("path"), F.col(value).alias("value"), *typed)
+    lines = rows.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("components"), F.to_json(F.array_sort(F.collect_list(pair))).alias("_pairs"))
     every = flat.select(key).distinct().join(lines, key, "left")
     components = F.when(F.size("components") > 0, F.col("components")).otherwise(F.array(F.concat(F.lit("name="), F.col(key).cast("string"))))
-    return every.withColumn("components", components).withColumn("fingerprint", F.sha2(F.concat_ws("\n", "components"), 256)).select(key, "fingerprint", "components")
+    return every.withColumn("components", components).withColumn("fingerprint", F.sha2(F.coalesce("_pairs", F.to_json("components")), 256)).select(key, "fingerprint", "components")
 
 
 def selection(indices: Column) -> Column:
@@ -92,16 +95,16 @@ def resolve_selections(runs: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def set_hash(indices: Column, source_count: Column, contract: Column) -> Column:
     """Content hash of a feature set: its canonical JSON of contract version, indices and source count."""
-    body = F.concat(F.lit('{"contract_version": "'), contract, F.lit('", "feature_indices": ['), F.array_join(F.transform(selection(indices), lambda i: i.cast("string")), ", "), F.lit('], "source_feature_count": '), source_count.cast("string"), F.lit("}"))
+    body = F.concat(F.lit('{"contract_version": '), json_text(contract), F.lit(', "feature_indices": ['), F.array_join(F.transform(selection(indices), lambda i: i.cast("string")), ", "), F.lit('], "source_feature_count": '), source_count.cast("string"), F.lit("}"))
     return F.sha2(body, 256)
 
 
 def all_or_nothing_hash(*parts: Column) -> Column:
-    """Hash of all parts; null if any is null or empty (provenance and cache keys fail closed)."""
+    """Hash of the JSON list of all parts; null if any is null or empty (provenance and cache keys fail closed)."""
     whole = F.lit(True)
     for p in parts:
         whole = whole & non_empty(p.cast("string")).isNotNull()
-    return F.when(whole, F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256))
+    return F.when(whole, F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256))
 
 
 def directory_hash(files: DataFrame, directory: str = "dir", name: str = "name", size: str = "size_bytes") -> DataFrame:

@@ -19,10 +19,17 @@ def _flag(df: DataFrame, severity: str, kind: str, key_name: str, key: Column, d
     return df.select(F.lit(severity).alias("severity"), F.lit(kind).alias("kind"), F.lit(key_name).alias("key_name"), key.cast("string").alias("key"), detail.cast("string").alias("detail"))
 
 
-def count_drift(index: DataFrame, disk: DataFrame) -> DataFrame:
-    """A flag when the index and the record files differ in number."""
+def count_drift(index: DataFrame | None, disk: DataFrame, status: str = "envelope") -> DataFrame:
+    """A flag when the index and the record files differ in number (warn), or when there is none (info) or an unreadable one (warn).
+
+    ``status`` is the index file's, as :func:`quillon.sources.files.index_status` tells it, or "missing".
+    """
+    if index is None or status in ("missing", "malformed"):
+        n = disk.agg(F.count("*").alias("n"))
+        told = F.concat(F.lit("no index" if status != "malformed" else "unreadable index"), F.lit("; records: "), F.col("n").cast("string"))
+        return _flag(n, "warn" if status == "malformed" else "info", "index_count", "table", F.lit("index"), told)
     both = index.agg(F.count("*").alias("a")).crossJoin(disk.agg(F.count("*").alias("b")))  # one row each
-    return _flag(both.filter("a <> b"), "error", "index_count", "table", F.lit("index"), F.concat_ws(" vs ", F.col("a").cast("string"), F.col("b").cast("string")))
+    return _flag(both.filter("a <> b"), "warn", "index_count", "table", F.lit("index"), F.concat_ws(" vs ", F.col("a").cast("string"), F.col("b").cast("string")))
 
 
 def config_drift(records: DataFrame) -> DataFrame:
@@ -34,13 +41,15 @@ def config_drift(records: DataFrame) -> DataFrame:
 def stale_versions(verdicts: DataFrame, current: str, version: str = "stats_version", key: str = "probe_id") -> DataFrame:
     """Verdicts computed with an older version than the current one."""
     old = verdicts.filter(F.col(version).isNotNull() & (version_key(F.col(version)) < version_key(F.lit(current))))
-    return _flag(old, "warn", "stale_version", key, F.col(key), F.col(version))
+    return _flag(old, "info", "stale_version", key, F.col(key), F.col(version))
 
 
-def schema_drift(verdicts: DataFrame, expected: str, version: str = "schema_version", warnings: str = "parse_warnings", key: str = "probe_id") -> DataFrame:
-    """Verdicts of another schema, and verdicts that were read with warnings."""
-    other = _flag(verdicts.filter(~F.col(version).eqNullSafe(F.lit(expected))), "error", "schema", key, F.col(key), F.coalesce(F.col(version), F.lit("none")))
-    read = _flag(verdicts.filter(F.size(warnings) > 0), "warn", "parse", key, F.col(key), F.array_join(warnings, "; "))
+def schema_drift(records: DataFrame, verdicts: DataFrame, expected: str | None, version: str = "contract_version", warnings: str = "parse_warnings", key: str = "experiment_id", verdict_key: str = "probe_id") -> DataFrame:
+    """Records of another contract version than the current one, and verdicts that were read with warnings."""
+    own = F.nullif(F.col(version), F.lit(""))
+    other = records.filter(own != F.lit(expected)) if expected else records.limit(0)
+    other = _flag(other, "info", "schema", key, F.col(key), F.col(version))
+    read = _flag(verdicts.filter(F.size(warnings) > 0), "info", "parse", verdict_key, F.col(verdict_key), F.array_join(warnings, "; "))
     return other.unionByName(read)
 
 

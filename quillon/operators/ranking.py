@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,3 +22,31 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return placed.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_at") + 1).cast("long")).drop("_part", "_at", "_before")  # one row a partition
+
+
+def running_total(df: DataFrame, value: str, *order: Column, name: str = "total") -> DataFrame:
+    """Adds the sum of ``value`` over all rows up to each one in ``order``, dealt as in :func:`global_rank`."""
+    placed = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    placed = placed.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else placed.persist()
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = sums.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_before"))  # one row a partition
+    upto = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return placed.withColumn(name, upto).join(F.broadcast(before), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")
+
+
+def asof(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, value: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Adds to each row of ``left`` the ``value`` of the last row of ``right`` at or before it (``on``) with the same ``by``.
+
+    One window over both tables; of right rows at one time the last by
+    ``ties``.  Keys are expected to have few rows each, as users or symbols do.
+    """
+    sides = [(left, 1), (right, 0)]
+    columns = [c for c in left.columns if c != value]
+    both = None
+    for df, side in sides:
+        own = [(F.col(c) if c in df.columns else F.lit(None).cast(left.schema[c].dataType)).alias(c) for c in columns]
+        hit = F.col(value) if side == 0 else F.lit(None).cast(right.schema[value].dataType)
+        rows = df.select(*own, hit.alias("_value"), F.lit(side).alias("_side"))
+        both = rows if both is None else both.unionByName(rows)
+    order = Window.partitionBy(*by).orderBy(on, "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(value, F.last("_value", ignorenulls=True).over(order)).filter("_side = 1").drop("_side", "_value")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ class RecordFilter:
     """Optional predicates, joined by AND.
 
     For tags and the five plain names and dates an empty value means no
-    predicate; for the three hashes an empty string is a value to look for and
+    predicate; for the four hashes an empty string is a value to look for and
     only None means no predicate.
     """
 
@@ -35,6 +37,7 @@ class RecordFilter:
     fingerprint: str | None = None
     compatibility_fingerprint: str | None = None
     provenance_hash: str | None = None
+    model_config_hash: str | None = None
 
     def condition(self, columns: Sequence[str]) -> Column:
         """A missing metric counts as 0 where a floor is set; dates compare as strings, both bounds included."""
@@ -50,7 +53,7 @@ class RecordFilter:
             out = out & (F.col("created_at") <= self.created_before)
         for metric, least in self.floors.items():
             out = out & (F.coalesce(finite(F.col(metric)) if metric in columns else F.lit(None).cast("double"), F.lit(0.0)) >= least)
-        for name in ("fingerprint", "compatibility_fingerprint", "provenance_hash"):
+        for name in ("fingerprint", "compatibility_fingerprint", "provenance_hash", "model_config_hash"):
             if (value := getattr(self, name)) is not None:
                 out = out & F.coalesce(F.col(name) == (require_sha256(value, name) if value else value), F.lit(False))
         return out
@@ -124,21 +127,24 @@ def latest(records: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def prior_best(records: DataFrame, metric: str, signature: Mapping[str, object], ordinal: str = "ordinal") -> DataFrame:
-    """The best earlier record of a signature, and how many records match.
+    """The best earlier training record of a signature, and how many match, in one row; none without a match.
 
     In the signature only the empty string matches anything; None matches
-    null.  A signature of nothing but wildcards matches nothing.  Of equal
-    metrics the first by ordinal wins.
+    null.  A signature of nothing but empty strings, 0 and None tells nothing
+    and matches nothing.  Records without a type are training records.  Of
+    equal metrics the first by ordinal wins; matches none of which has the
+    metric are counted all the same, beside nulls.
     """
-    if all(v == "" for v in signature.values()):
+    if all(v in ("", 0, None) for v in signature.values()):
         return records.limit(0).withColumns({"n_matches": F.lit(0).cast("long")})
-    hit = F.lit(True)
+    hit = F.coalesce(F.col("record_type") == "training", F.lit(True)) if "record_type" in records.columns else F.lit(True)
     for name, value in signature.items():
         if value != "":
             hit = hit & F.col(name).eqNullSafe(F.lit(value))
-    found = records.filter(hit & is_finite(F.col(metric)))
-    counted = found.agg(F.count("*").alias("n_matches"))
-    return found.orderBy(F.col(metric).desc(), F.col(ordinal).asc()).limit(1).crossJoin(counted)  # one row each
+    found = records.filter(hit)
+    counted = found.agg(F.count("*").alias("n_matches")).filter("n_matches > 0")
+    best = found.filter(is_finite(F.col(metric))).orderBy(F.col(metric).desc(), F.col(ordinal).asc()).limit(1)
+    return counted.join(best, F.lit(True), "left").select(*records.columns, "n_matches")  # one row each
 
 
 def summary(records: DataFrame, top: int = 10, ordinal: str = "ordinal") -> DataFrame:
@@ -158,10 +164,46 @@ def run_status(stages: DataFrame, key: str = "run_id", status: str = "status") -
 # --- diff -------------------------------------------------------------------
 
 
+def leaves(text: str | None) -> list[tuple[str, str]]:
+    """(dotted path, JSON text) of every leaf of a JSON object; lists and empty objects are leaves.  Other text has none."""
+    try:
+        tree = json.loads(text) if text else None
+    except (ValueError, RecursionError):
+        return []
+    out, left = [], [("", tree)] if isinstance(tree, dict) else []
+    while left:
+        at, value = left.pop()
+        if isinstance(value, dict) and value:
+            left += [(f"{at}.{k}" if at else k, v) for k, v in value.items()]
+        elif at:
+            out.append((at, json.dumps(value, sort_keys=True)))
+    return sorted(out)
+
+
 def flatten_json(df: DataFrame, key: str, document: str) -> DataFrame:
-    """(key, path, value) of every leaf of a JSON object column of one level of nesting or a map; values as JSON text."""
-    pairs = F.explode(F.map_entries(F.from_json(document, "map<string,string>")))
-    return df.select(key, pairs.alias("e")).select(key, F.col("e.key").alias("path"), F.col("e.value").alias("value"))
+    """(key, path, value) of every leaf of a JSON object column, at any depth; values as JSON text."""
+
+    @F.pandas_udf("array<struct<path:string,value:string>>")
+    def paths(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"path": p, "value": v} for p, v in leaves(t)])
+
+    return df.select(key, F.explode(paths(F.col(document).cast("string"))).alias("e")).select(key, "e.path", "e.value")
+
+
+def axis_value(axes: Column, name: str, configured: Column) -> Column:
+    """The value of a sweep's axis, or what the configuration says where the sweep has no such axis."""
+    return F.coalesce(F.try_element_at(axes, F.lit(name)), configured)
+
+
+def horizon_number(text: Column) -> Column:
+    """H60 or 60 as 60; null for anything else."""
+    return F.regexp_extract(text, "^[Hh]?([0-9]+)$", 1).try_cast("int")
+
+
+def trusted(rows: DataFrame, trust: DataFrame, on: Sequence[str] = ("sweep_id", "seed"), default: str = "unknown") -> DataFrame:
+    """Adds ``trust``, looked up by sweep and seed; rows the table does not know have the default."""
+    known = trust.dropDuplicates(list(on)).select(*on, F.col("trust").alias("_trust"))
+    return rows.join(known, list(on), "left").withColumn("trust", F.coalesce("_trust", F.lit(default))).drop("_trust")
 
 
 def diff_maps(a: DataFrame, b: DataFrame, path: str = "path", value: str = "value") -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.functions.scalars import json_text
 from quillon.functions.semantics import choose, finite, first_by, is_finite, non_empty
+from quillon.operators.ranking import running_total
 
 #: Validation metrics whose best epoch is the highest, and whose best is the lowest.
 MAX_KEYS = ("val_accuracy", "val_macro_f1", "val_signal_rate", "val_ic", "val_directional_accuracy", "val_r2", "val_pearson", "val_profitable_accuracy")
@@ -45,8 +47,14 @@ def history_summary(history: DataFrame, key: str = "experiment_id", order: str =
 
 
 def best_threshold(results: DataFrame, key: str, order: str, option: str = "option_return", total: str = "total_return", zero_dte: str = "zero_dte") -> DataFrame:
-    """The first threshold of highest return: option return for 0DTE rows that have it, else total; not finite sorts lowest."""
-    score = F.when(F.col(zero_dte) & F.col(option).isNotNull(), F.col(option)).otherwise(F.col(total))
+    """The first threshold of highest return; not finite sorts lowest.
+
+    A 0DTE run any of whose rows has an option return is decided by option
+    returns alone, another by total returns.
+    """
+    run = Window.partitionBy(key)
+    by_option = F.bool_or(F.col(zero_dte)).over(run) & F.bool_or(F.col(option).isNotNull()).over(run)
+    score = F.when(by_option, F.col(option)).otherwise(F.col(total))
     low = F.coalesce(finite(score), F.lit(float("-inf")))
     return results.withColumn("score", finite(score)).withColumn("_n", first_by([key], low.desc(), F.col(order).asc())).filter("_n = 1").drop("_n")
 
@@ -67,15 +75,22 @@ def trimmed_means(trades: DataFrame, cell: Sequence[str], k: int, value: str = "
 
 
 def rollup(children: DataFrame, sweep: str = "sweep_id", name: str = "sweep_name") -> DataFrame:
-    """One aggregate for each sweep: status, duration, counts, and a fingerprint of its children's sorted fingerprints."""
+    """One aggregate for each sweep: status, duration, counts, and a fingerprint.
+
+    completed: some child completed and none failed; partial: some of both;
+    failed: some failed, none completed; else unknown.  The fingerprint is
+    that of the canonical JSON of the sweep's name and its children's sorted
+    fingerprints (empty ones left out).
+    """
     ok, bad = F.count_if(F.col("status") == "completed"), F.count_if(F.col("status") == "failed")
+    children_json = F.array_join(F.transform(F.array_sort(F.collect_list(non_empty(F.col("fingerprint")))), lambda x: json_text(x)), ", ")
     return children.groupBy(sweep, name).agg(
         F.count("*").alias("n_children"),
         ok.alias("n_completed"),
         bad.alias("n_failed"),
         F.sum("duration_seconds").alias("duration_seconds"),
-        choose((ok == F.count("*"), "completed"), (bad == F.count("*"), "failed"), otherwise="partial").alias("status"),
-        F.sha2(F.concat_ws("|", F.col(name), F.concat_ws(",", F.array_sort(F.collect_list("fingerprint")))), 256).alias("fingerprint"),
+        choose(((ok > 0) & (bad == 0), "completed"), (ok > 0, "partial"), (bad > 0, "failed"), otherwise="unknown").alias("status"),
+        F.sha2(F.concat(F.lit('{"children": ['), children_json, F.lit('], "sweep_name": '), json_text(F.col(name)), F.lit("}")), 256).alias("fingerprint"),
     )
 
 
@@ -105,7 +120,7 @@ def equal_weight(cells: DataFrame, by: Sequence[str], value: str = "mean", n: st
 
 def divergence(records: DataFrame) -> DataFrame:
     """Names with more than one configuration hash, and (name, fingerprint) with more than one provenance hash; completed single runs only."""
-    runs = records.filter((F.col("status") == "completed") & (F.col("record_type") != "sweep_aggregate"))
+    runs = records.filter((F.col("status") == "completed") & ~F.coalesce(F.col("record_type").isin("sweep_aggregate", "sweep_failure"), F.lit(False)))
     config = runs.groupBy("name").agg(F.count_distinct(non_empty(F.col("fingerprint"))).alias("n")).select("name", F.lit("").alias("fingerprint"), F.lit("config").alias("kind"), "n")
     origin = runs.filter(non_empty(F.col("fingerprint")).isNotNull()).groupBy("name", "fingerprint").agg(F.count_distinct(non_empty(F.col("provenance_hash"))).alias("n")).select("name", "fingerprint", F.lit("provenance").alias("kind"), "n")
     return config.unionByName(origin).filter("n > 1")
@@ -144,14 +159,33 @@ def baseline_ratio(rows: DataFrame, by: Sequence[str], model: str, value: str, n
     return wide.withColumn("ratio", F.when(F.col("denominator") > floor, F.col("numerator") / F.col("denominator")))
 
 
-def evictions(cache: DataFrame, budget: int, max_age: float | None = None, now: float = 0.0, partitions: Sequence[str] = ()) -> DataFrame:
-    """Cache entries with ``evict``: the oldest unpinned ones (mtime, then key) while the total is over budget, and all too old.
+def evictions(cache: DataFrame, budget: int | None, max_age: float | None = None, now: float = 0.0, partitions: Sequence[str] = ()) -> DataFrame:
+    """Cache entries with ``evict``: of the unpinned ones older than ``max_age``, the oldest (mtime, then key) while the total is over budget.
 
-    Pinned entries count towards the total but stay.
+    Without ``max_age`` all unpinned ones are candidates, without ``budget``
+    all candidates go.  Pinned entries stay and do not count.  The running
+    total is taken over ranges of the whole cache, or within ``partitions``.
     """
-    mine = Window.partitionBy(*partitions) if partitions else Window.partitionBy(F.lit(0))
-    total = F.sum("size_bytes").over(mine)
-    free = F.when(~F.col("pinned"), F.col("size_bytes")).otherwise(0)
-    before = F.coalesce(F.sum(free).over(mine.orderBy("mtime", "cache_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    old = F.lit(False) if max_age is None else (F.lit(now) - F.col("mtime") > max_age)
-    return cache.withColumn("evict", ~F.col("pinned") & ((total - before > budget) | old))
+    free = F.when(~F.col("pinned"), F.col("size_bytes")).otherwise(0).cast("long")
+    rows = cache.withColumn("_free", free)
+    if partitions:
+        mine = Window.partitionBy(*partitions)
+        upto = F.sum("_free").over(mine.orderBy("mtime", "cache_key").rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumns({"_before": upto - F.col("_free"), "_total": F.sum("_free").over(mine)})
+    else:
+        totals = rows.agg(F.sum("_free").alias("_total"))
+        rows = running_total(rows, "_free", F.col("mtime"), F.col("cache_key"), name="_upto").crossJoin(F.broadcast(totals))  # one row
+        rows = rows.withColumn("_before", F.col("_upto") - F.col("_free"))
+    over = F.lit(True) if budget is None else F.col("_total") - F.col("_before") > budget
+    old = F.lit(True) if max_age is None else F.lit(now) - F.col("mtime") > max_age
+    return rows.withColumn("evict", ~F.col("pinned") & over & old).select(*cache.columns, "evict")
+
+
+def cache_size(entries: DataFrame) -> DataFrame:
+    """Entries of a cache, their bytes, and whether none is empty."""
+    return entries.agg(F.count("*").alias("n"), F.sum("size_bytes").alias("total_bytes"), F.bool_and(F.col("size_bytes") > 0).alias("complete"))
+
+
+def largest(entries: DataFrame, n: int, by: str = "size_bytes") -> DataFrame:
+    """The ``n`` largest entries; of equal ones the lesser key."""
+    return entries.orderBy(F.desc(by), "cache_key").limit(n)

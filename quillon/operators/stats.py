@@ -32,16 +32,68 @@ def _resampled(values: DataFrame, cell: Sequence[str], replicates: int, seed: in
     The indices of a replicate are made where the replicate is, by exploding
     blocks; values come by an equi-join on (cell, idx).  Nothing is gathered.
     """
-    sizes = values.groupBy(*cell).agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("len", F.lit(length).cast("long") if length else block_length(F.col("n"))).withColumn("blocks", F.ceil(F.col("n") / F.col("len")))
-    reps = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    blocks = reps.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    blocks = _replicates(_plan(values, cell, length), replicates).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     start = draw(str(seed), F.concat_ws("/", *cell), F.col("rep"), F.col("block"), below=F.col("n") - F.col("len") + 1)
     places = blocks.withColumn("start", start).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("len") - 1)))
     places = places.filter(F.col("block") * F.col("len") + F.col("k") < F.col("n")).select(*cell, "rep", (F.col("start") + F.col("k")).alias("idx"))
     return places.join(values.select(*cell, "idx", "value"), [*cell, "idx"])
 
 
+#: Places of a cell that one task sums up.
+CHUNK = 1 << 16
+
+
+def _plan(values: DataFrame, cell: Sequence[str], length: int | None) -> DataFrame:
+    """Size, block length and number of blocks of each cell."""
+    sizes = values.groupBy(*cell).agg(F.count("*").alias("n"))
+    return sizes.withColumn("len", F.lit(length).cast("long") if length else block_length(F.col("n"))).withColumn("blocks", F.ceil(F.col("n") / F.col("len")))
+
+
+def _replicates(plan: DataFrame, replicates: int) -> DataFrame:
+    """A row for each cell and replicate, dealt to all tasks before anything larger is made of them."""
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return plan.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).repartition(tasks, "rep")
+
+
+def _running(values: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """(cell, idx, before, upto, bad_before, bad_upto): sums of the finite values before and up to each place, and counts of the others.
+
+    A cell is summed up chunk by chunk, so it may have any size.
+    """
+    ok = is_finite(F.col("value"))
+    rows = values.select(*cell, "idx", F.when(ok, F.col("value")).otherwise(0.0).alias("v"), (~ok).cast("long").alias("b"), F.floor(F.col("idx") / CHUNK).alias("chunk"))
+    sums = rows.groupBy(*cell, "chunk").agg(F.sum("v").alias("sv"), F.sum("b").alias("sb"))
+    earlier = Window.partitionBy(*cell).orderBy("chunk")
+    offsets = sums.select(*cell, "chunk", (F.sum("sv").over(earlier) - F.col("sv")).alias("ov"), (F.sum("sb").over(earlier) - F.col("sb")).alias("ob"))  # one row a chunk
+    here = Window.partitionBy(*cell, "chunk").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"cv": F.sum("v").over(here), "cb": F.sum("b").over(here)}).join(offsets, [*cell, "chunk"])
+    upto, bad = F.col("cv") + F.col("ov"), F.col("cb") + F.col("ob")
+    return rows.select(*cell, "idx", (upto - F.col("v")).alias("before"), upto.alias("upto"), (bad - F.col("b")).alias("bad_before"), bad.alias("bad_upto"))
+
+
+def _resampled_means(values: DataFrame, cell: Sequence[str], replicates: int, seed: int, length: int | None) -> DataFrame:
+    """(cell, rep, m): means of moving-block resamples of (cell, idx, value); null where a value drawn is not finite.
+
+    The sum of every possible block is two lookups in running sums, so a
+    replicate costs one row a block, not one row a value.  The last block is
+    cut off where the resample has n values.
+    """
+    plan = _plan(values, cell, length)
+    running = _running(values, cell)
+    starts = running.join(F.broadcast(plan), list(cell)).filter(F.col("idx") <= F.col("n") - F.col("len"))  # one row a cell
+    ends = lambda name: running.select(*cell, F.col("idx").alias(f"{name}_at"), F.col("upto").alias(name), F.col("bad_upto").alias(f"{name}_bad"))
+    cut = F.col("n") - (F.col("blocks") - 1) * F.col("len")
+    sums = starts.withColumns({"full_at": F.col("idx") + F.col("len") - 1, "part_at": F.col("idx") + cut - 1})
+    sums = sums.join(ends("full"), [*cell, "full_at"]).join(ends("part"), [*cell, "part_at"])
+    sums = sums.select(*cell, F.col("idx").alias("start"), *[(F.col(k) - F.col("before")).alias(k) for k in ("full", "part")], *[(F.col(f"{k}_bad") - F.col("bad_before")).alias(f"{k}_bad") for k in ("full", "part")])
+    blocks = _replicates(plan, replicates).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    start = draw(str(seed), F.concat_ws("/", *cell), F.col("rep"), F.col("block"), below=F.col("n") - F.col("len") + 1)
+    drawn = blocks.select(*cell, "rep", "n", start.alias("start"), (F.col("block") == F.col("blocks") - 1).alias("last")).join(sums, [*cell, "start"])
+    pick = lambda k: F.when(F.col("last"), F.col(f"part{k}")).otherwise(F.col(f"full{k}"))
+    made = drawn.groupBy(*cell, "rep").agg((F.sum(pick("")) / F.first("n")).alias("m"), F.sum(pick("_bad")).alias("bad"))
+    return made.select(*cell, "rep", F.when(F.col("bad") == 0, F.col("m")).alias("m"))
+
+
 def bootstrap_mean(values: DataFrame, cell: Sequence[str], replicates: int = REPLICATES, ci: float = 0.95, seed: int = SEED, length: int | None = None) -> DataFrame:
     """Moving-block bootstrap interval of a mean for each cell of (cell, idx, value).
 
@@ -51,7 +103,7 @@ def bootstrap_mean(values: DataFrame, cell: Sequence[str], replicates: int = REP
     root of n with at least five blocks.
     """
     point = values.groupBy(*cell).agg(F.count("*").alias("n"), F.avg("value").alias("mean"))
-    means = _resampled(values, cell, replicates, seed, length).groupBy(*cell, "rep").agg(F.avg("value").alias("m"))
+    means = _resampled_means(values, cell, replicates, seed, length)
     means = means.join(point.select(*cell, "mean"), list(cell)).withColumn("ok", is_finite(F.col("m"))).withColumn("m", F.when(F.col("ok"), F.col("m")).otherwise(F.col("mean")))
     ends = means.groupBy(*cell).agg(F.percentile("m", (1 - ci) / 2).alias("lo"), F.percentile("m", 1 - (1 - ci) / 2).alias("hi"), F.count_if(~F.col("ok")).alias("n_fallback"))
     return _few(point.join(ends, list(cell)), 3)
@@ -69,7 +121,7 @@ def enough_data(cis: DataFrame, least: int = 10) -> DataFrame:
 def bootstrap_ratio(values: DataFrame, cell: Sequence[str], numerator: Column, replicates: int = REPLICATES, ci: float = 0.95, seed: int = SEED, guard: float = 1e-12) -> DataFrame:
     """Interval of ``numerator`` / mean(resample); replicates with a mean within ``guard`` of 0 are left out."""
     point = values.groupBy(*cell).agg(F.count("*").alias("n"), F.avg("value").alias("mean"))
-    means = _resampled(values, cell, replicates, seed, 1).groupBy(*cell, "rep").agg(F.avg("value").alias("m"))
+    means = _resampled_means(values, cell, replicates, seed, 1)
     ratio = F.when(F.abs("m") > guard, numerator / F.col("m"))
     ends = means.select(*cell, ratio.alias("r")).groupBy(*cell).agg(F.percentile("r", (1 - ci) / 2).alias("lo"), F.percentile("r", 1 - (1 - ci) / 2).alias("hi"))
     return point.withColumn("ratio", F.when(F.abs("mean") > guard, numerator / F.col("mean"))).join(ends, list(cell))

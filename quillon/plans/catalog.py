@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import scalars as S
 from quillon.functions.semantics import choose
+from quillon.operators.ranking import asof
 from quillon.operators import gates, grid, identity, monitor, records, reduce, scheduling, stats, validation
 from quillon.plans import roles as R
 from quillon.plans.roles import table
@@ -17,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-REPS = 100  # replicates of registered bootstrap queries; operators default to more
+REPS = 1000  # replicates of registered bootstrap queries; operators default to 10,000
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -55,8 +56,9 @@ def filter_records(spark, sf_dir):
     return records.filter_records(R.ledger(spark, sf_dir), wanted).select("experiment_id", "name", "status")
 
 
-@query(f"""WITH {R.LEDGER}, hits AS (SELECT * FROM ledger WHERE model_type = 'MACHINERY' AND status = 'completed' AND metric_b IS NOT NULL)
- SELECT experiment_id, round(metric_b, 8) AS metric_b, (SELECT count(*) FROM hits) AS n_matches FROM hits ORDER BY metric_b DESC, ordinal LIMIT 1""")
+@query(f"""WITH {R.LEDGER}, hits AS (SELECT * FROM ledger WHERE record_type = 'training' AND model_type = 'MACHINERY' AND status = 'completed'),
+ best AS (SELECT * FROM hits WHERE metric_b IS NOT NULL ORDER BY metric_b DESC, ordinal LIMIT 1)
+ SELECT experiment_id, round(metric_b, 8) AS metric_b, n_matches FROM (SELECT count(*) AS n_matches FROM hits) LEFT JOIN best ON TRUE WHERE n_matches > 0""")
 def prior_best(spark, sf_dir):
     best = records.prior_best(R.ledger(spark, sf_dir), "metric_b", {"model_type": "MACHINERY", "status": "completed", "sweep_id": ""})
     return rounded(best.select("experiment_id", "metric_b", "n_matches"), "metric_b")
@@ -136,7 +138,7 @@ def headline_metric(spark, sf_dir):
 
 
 @query(f"""WITH {R.LEDGER}, {R.VERDICTS}, last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY ordinal DESC) AS n FROM verdicts) WHERE n = 1),
- flags AS (SELECT DISTINCT name FROM ledger WHERE status = 'completed' AND record_type <> 'sweep_aggregate' GROUP BY name HAVING count(DISTINCT fingerprint) > 40)
+ flags AS (SELECT DISTINCT name FROM ledger WHERE status = 'completed' AND record_type NOT IN ('sweep_aggregate', 'sweep_failure') GROUP BY name HAVING count(DISTINCT fingerprint) > 40)
  SELECT experiment_id, l.name, l.fingerprint, v.verdict, v.edge, 'ledger' AS source, CASE WHEN f.name IS NOT NULL THEN 'divergence' ELSE '' END AS kinds FROM ledger l LEFT JOIN last v ON l.fingerprint = v.fingerprint LEFT JOIN flags f ON l.name = f.name
  UNION ALL SELECT NULL, v.name, v.fingerprint, v.verdict, v.edge, 'discovery', '' FROM last v WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.fingerprint = v.fingerprint)""")
 def fused_monitor(spark, sf_dir):
@@ -166,7 +168,7 @@ def history_summary(spark, sf_dir):
 
 
 @query("""WITH t AS (SELECT o_custkey AS run, o_orderkey AS ordinal, o_orderstatus = 'F' AS zero_dte, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice / 100 END AS opt, CASE WHEN o_orderkey % 13 > 0 THEN o_totalprice / 1000 END AS tot FROM orders),
- s AS (SELECT *, CASE WHEN zero_dte AND opt IS NOT NULL THEN opt ELSE tot END AS score FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY coalesce(score, CAST('-Infinity' AS DOUBLE)) DESC, ordinal) AS n FROM s)
+ s AS (SELECT *, CASE WHEN bool_or(zero_dte) OVER (PARTITION BY run) AND count(opt) OVER (PARTITION BY run) > 0 THEN opt ELSE tot END AS score FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY coalesce(score, CAST('-Infinity' AS DOUBLE)) DESC, ordinal) AS n FROM s)
  SELECT run, ordinal, round(score, 6) AS score FROM r WHERE n = 1""")
 def best_threshold(spark, sf_dir):
     t = table(spark, sf_dir, "orders").selectExpr("o_custkey AS run", "o_orderkey AS ordinal", "o_orderstatus = 'F' AS zero_dte", "CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice / 100 END AS option_return", "CASE WHEN o_orderkey % 13 > 0 THEN o_totalprice / 1000 ELSE double('NaN') END AS total_return")
@@ -185,8 +187,9 @@ def trimmed_mean(spark, sf_dir):
 
 
 @query(f"""WITH {R.LEDGER} SELECT sweep_id, 'sweep_' || sweep_id AS sweep_name, count(*) AS n_children, count(*) FILTER (WHERE status = 'completed') AS n_completed, count(*) FILTER (WHERE status = 'failed') AS n_failed, sum(duration_seconds) AS duration_seconds,
- CASE WHEN count(*) FILTER (WHERE status = 'completed') = count(*) THEN 'completed' WHEN count(*) FILTER (WHERE status = 'failed') = count(*) THEN 'failed' ELSE 'partial' END AS status,
- sha256('sweep_' || sweep_id || '|' || string_agg(fingerprint, ',' ORDER BY fingerprint)) AS fingerprint FROM ledger GROUP BY sweep_id""")
+ CASE WHEN count(*) FILTER (WHERE status = 'completed') > 0 AND count(*) FILTER (WHERE status = 'failed') = 0 THEN 'completed' WHEN count(*) FILTER (WHERE status = 'completed') > 0 THEN 'partial'
+ WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'failed' ELSE 'unknown' END AS status,
+ sha256('{{"children": [' || string_agg('"' || fingerprint || '"', ', ' ORDER BY fingerprint) || '], "sweep_name": "sweep_' || sweep_id || '"}}') AS fingerprint FROM ledger GROUP BY sweep_id""")
 def sweep_rollup(spark, sf_dir):
     return reduce.rollup(R.ledger(spark, sf_dir).withColumn("sweep_name", F.concat(F.lit("sweep_"), "sweep_id")))
 
@@ -214,7 +217,7 @@ def equal_weight_mean(spark, sf_dir):
     return rounded(reduce.equal_weight(cells, ["model_type"]), "mean")
 
 
-@query(f"""WITH {R.LEDGER}, runs AS (SELECT * FROM ledger WHERE status = 'completed' AND record_type <> 'sweep_aggregate')
+@query(f"""WITH {R.LEDGER}, runs AS (SELECT * FROM ledger WHERE status = 'completed' AND record_type NOT IN ('sweep_aggregate', 'sweep_failure'))
  SELECT name, '' AS fingerprint, 'config' AS kind, count(DISTINCT fingerprint) AS n FROM runs GROUP BY name HAVING count(DISTINCT fingerprint) > 1
  UNION ALL SELECT name, fingerprint, 'provenance', count(DISTINCT provenance_hash) FROM runs GROUP BY name, fingerprint HAVING count(DISTINCT provenance_hash) > 1""")
 def divergence(spark, sf_dir):
@@ -246,10 +249,10 @@ def baseline_ratio(spark, sf_dir):
     return rounded(reduce.baseline_ratio(m, ["name"], "model_type", "v", "BUILDING", "MACHINERY"), "numerator", "denominator", "ratio")
 
 
-@query(f"""WITH {R.CACHE}, t AS (SELECT *, sum(size_bytes) OVER () AS total, coalesce(sum(CASE WHEN NOT pinned THEN size_bytes ELSE 0 END) OVER (ORDER BY mtime, cache_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM cache)
- SELECT cache_key, CAST(mtime AS BIGINT) AS mtime, size_bytes, NOT pinned AND (total - before > 500000 OR 300 - mtime > 290) AS evict FROM t""")
+@query(f"""WITH {R.CACHE}, t AS (SELECT *, sum(CASE WHEN NOT pinned THEN size_bytes ELSE 0 END) OVER () AS total, coalesce(sum(CASE WHEN NOT pinned THEN size_bytes ELSE 0 END) OVER (ORDER BY mtime, cache_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM cache)
+ SELECT cache_key, CAST(mtime AS BIGINT) AS mtime, size_bytes, NOT pinned AND total - before > 500000 AND 300 - mtime > 100 AS evict FROM t""")
 def cache_evictions(spark, sf_dir):
-    out = reduce.evictions(R.cache(spark, sf_dir), 500_000, max_age=290.0, now=300.0)
+    out = reduce.evictions(R.cache(spark, sf_dir), 500_000, max_age=100.0, now=300.0)
     return out.select("cache_key", F.col("mtime").cast("long").alias("mtime"), "size_bytes", "evict")
 
 
@@ -265,26 +268,36 @@ def _bootstrap_sql(cell: str, src: str, key: str, reps: int, length: str) -> str
     return _BLOCKS.format(cell=cell, src=src, cellkey=key, reps=reps, length=length, dcell=", ".join(f"d.{c}" for c in names))
 
 
-def _small(spark, sf_dir):
-    """Each cell's trades averaged by place modulo 200: the registered bootstrap's input."""
-    return R.trades(spark, sf_dir).groupBy("model", "ret", (F.col("idx") % 200).alias("idx")).agg(F.avg("pnl").alias("value")).withColumn("idx", F.col("idx").cast("long"))
+def _means_sql(cell: str, src: str, key: str, reps: int, length: str, value: str = "value") -> str:
+    """CTEs sizes .. m (cell, rep, m): means of block resamples, each block's sum by two running sums."""
+    names = cell.split(", ")
+    on = lambda t: " AND ".join(f"{t}.{c} = d.{c}" for c in names)
+    own = ", ".join(f"d.{c}" for c in names)
+    return f"""sizes AS (SELECT {cell}, count(*) AS n FROM {src} GROUP BY {cell}), plan0 AS (SELECT *, CAST(ceil(pow(n, CAST(1.0 AS DOUBLE) / 3) - CAST(1e-9 AS DOUBLE)) AS BIGINT) AS c FROM sizes),
+ plan AS (SELECT *, {length} AS len FROM plan0), run AS (SELECT {cell}, idx, sum({value}) OVER w - ({value}) AS before, sum({value}) OVER w AS upto FROM {src} WINDOW w AS (PARTITION BY {cell} ORDER BY idx)),
+ reps AS (SELECT *, unnest(range({reps})) AS rep FROM plan), blocks AS (SELECT *, unnest(range(CAST(ceil(n / CAST(len AS DOUBLE)) AS BIGINT))) AS block FROM reps),
+ draws AS (SELECT *, CAST('0x' || substr(md5('42|' || {key} || '|' || rep || '|' || block), 1, 8) AS BIGINT) % (n - len + 1) AS start FROM blocks),
+ m AS (SELECT {own}, d.rep, sum(e.upto - s.before) / any_value(d.n) AS m FROM draws d JOIN run s ON {on("s")} AND s.idx = d.start JOIN run e ON {on("e")} AND e.idx = d.start + least(d.len, d.n - d.block * d.len) - 1 GROUP BY {own}, d.rep)"""
 
 
-_SMALL = R.TRADES + ", small AS (SELECT model, ret, idx % 200 AS idx, avg(pnl) AS value FROM trades GROUP BY model, ret, idx % 200)"
 _CUBE = "CASE WHEN floor(n / CAST(c AS DOUBLE)) < 5 THEN greatest(1, CAST(floor(n / CAST(5 AS DOUBLE)) AS BIGINT)) ELSE c END"
+_KEY = "model || '/' || ret"
 
 
-@query(f"""WITH {_SMALL}, {_bootstrap_sql("model, ret", "small", "model || '/' || ret", REPS, _CUBE)}, m AS (SELECT p.model, p.ret, p.rep, avg(s.value) AS m FROM places p JOIN small s ON s.model = p.model AND s.ret = p.ret AND s.idx = p.idx GROUP BY p.model, p.ret, p.rep),
- pt AS (SELECT model, ret, count(*) AS n, avg(value) AS mean FROM small GROUP BY model, ret) SELECT pt.model, pt.ret, pt.n, round(mean, 7) AS mean, round(quantile_cont(m, 0.025), 7) AS lo, round(quantile_cont(m, 0.975), 7) AS hi FROM pt JOIN m ON m.model = pt.model AND m.ret = pt.ret GROUP BY pt.model, pt.ret, pt.n, mean""")
+@query(f"""WITH {R.TRADES}, {_means_sql("model, ret", "trades", _KEY, REPS, _CUBE, "pnl")}, pt AS (SELECT model, ret, count(*) AS n, avg(pnl) AS mean FROM trades GROUP BY model, ret)
+ SELECT pt.model, pt.ret, pt.n, round(mean, 7) AS mean, round(quantile_cont(m, 0.025), 7) AS lo, round(quantile_cont(m, 0.975), 7) AS hi FROM pt JOIN m ON m.model = pt.model AND m.ret = pt.ret GROUP BY pt.model, pt.ret, pt.n, mean""")
 def bootstrap_mean(spark, sf_dir):
-    out = stats.enough_data(stats.bootstrap_mean(_small(spark, sf_dir), ["model", "ret"], REPS))
+    """Intervals of the mean of all trades of a cell."""
+    out = stats.enough_data(stats.bootstrap_mean(R.numbered_trades(spark, sf_dir), ["model", "ret"], REPS))
     return rounded(out.select("model", "ret", "n", "mean", "lo", "hi"), "mean", "lo", "hi", digits=7)
 
 
-@query(f"""WITH {_SMALL}, {_bootstrap_sql("model, ret", "small", "model || '/' || ret", REPS, "1")}, m AS (SELECT p.model, p.ret, p.rep, avg(s.value + 1) AS m FROM places p JOIN small s ON s.model = p.model AND s.ret = p.ret AND s.idx = p.idx GROUP BY p.model, p.ret, p.rep),
- pt AS (SELECT model, ret, count(*) AS n, avg(value + 1) AS mean FROM small GROUP BY model, ret) SELECT pt.model, pt.ret, pt.n, round(2 / mean, 7) AS ratio, round(quantile_cont(2 / m, 0.025), 7) AS lo, round(quantile_cont(2 / m, 0.975), 7) AS hi FROM pt JOIN m ON m.model = pt.model AND m.ret = pt.ret GROUP BY pt.model, pt.ret, pt.n, mean""")
+@query(f"""WITH {R.TRADES}, {_means_sql("model, ret", "trades", _KEY, REPS, "1", "pnl + 1")}, pt AS (SELECT model, ret, count(*) AS n, avg(pnl + 1) AS mean FROM trades GROUP BY model, ret)
+ SELECT pt.model, pt.ret, pt.n, round(2 / mean, 7) AS ratio, round(quantile_cont(2 / m, 0.025), 7) AS lo, round(quantile_cont(2 / m, 0.975), 7) AS hi FROM pt JOIN m ON m.model = pt.model AND m.ret = pt.ret GROUP BY pt.model, pt.ret, pt.n, mean""")
 def bootstrap_ratio(spark, sf_dir):
-    out = stats.bootstrap_ratio(_small(spark, sf_dir).withColumn("value", F.col("value") + 1), ["model", "ret"], F.lit(2.0), REPS)
+    """Intervals of a ratio to the mean of all trades of a cell, by the plain bootstrap."""
+    values = R.numbered_trades(spark, sf_dir).withColumn("value", F.col("value") + 1)
+    out = stats.bootstrap_ratio(values, ["model", "ret"], F.lit(2.0), REPS)
     return rounded(out.select("model", "ret", "n", "ratio", "lo", "hi"), "ratio", "lo", "hi", digits=7)
 
 
@@ -386,9 +399,9 @@ def _checks(spark, sf_dir) -> DataFrame:
 _CHECKS = (
     R.LEDGER
     + """, c AS (SELECT experiment_id, CASE WHEN metric_b IS NULL THEN 'skip' WHEN metric_b >= 0.3 THEN 'pass' ELSE 'fail' END AS floor,
- CASE WHEN metric_b IS NULL THEN 'skip' WHEN metric_a - 0.2 <= 0 AND metric_b >= metric_a - 0.2 THEN 'pass' WHEN metric_a - 0.2 <= 0 THEN 'fail' WHEN metric_b / (metric_a - 0.2) >= 0.9 THEN 'pass' ELSE 'fail' END AS prior,
- CASE WHEN ordinal % 2 = 0 AND metric_b IS NULL THEN 'skip' WHEN CASE WHEN ordinal % 2 = 0 THEN metric_b ELSE metric_a END > 0.5 THEN 'warn' ELSE 'pass' END AS cost,
- CASE WHEN metric_b IS NULL THEN 'skip' WHEN metric_b >= 0.6 AND metric_a < 0.5 AND duration_seconds / 10000 < 0.05 THEN 'warn' ELSE 'pass' END AS sign FROM ledger WHERE record_type = 'training')"""
+ CASE WHEN metric_b IS NULL THEN 'skip' WHEN metric_a - 0.2 = 0 OR (metric_a - 0.2 < 0 AND metric_b >= metric_a - 0.2) THEN 'pass' WHEN metric_a - 0.2 < 0 THEN 'fail' WHEN metric_b / (metric_a - 0.2) >= 0.9 THEN 'pass' ELSE 'fail' END AS prior,
+ CASE WHEN ordinal % 2 = 0 AND metric_b IS NULL THEN 'skip' WHEN CASE WHEN ordinal % 2 = 0 THEN metric_b ELSE metric_a END >= 0.5 THEN 'pass' ELSE 'warn' END AS cost,
+ CASE WHEN metric_b IS NULL OR metric_b < 0.6 THEN 'skip' WHEN metric_a < 0.5 AND duration_seconds / 10000 < 0.05 THEN 'warn' ELSE 'pass' END AS sign FROM ledger WHERE record_type = 'training')"""
 )
 
 
@@ -460,7 +473,7 @@ def scalar_functions(spark, sf_dir):
 # --- identity, grid, validation ---------------------------------------------
 
 
-@query("""WITH r AS (SELECT r_regionkey AS v, replace(replace(r_name, ' ', '_'), '.', '_') AS l, row_number() OVER (ORDER BY r_regionkey) - 1 AS p FROM region), n AS (SELECT n_nationkey AS v, n_name AS l, row_number() OVER (ORDER BY n_nationkey) - 1 AS p FROM nation WHERE n_nationkey < 4),
+@query("""WITH r AS (SELECT r_regionkey AS v, replace(replace(r_name, ' ', '_'), '.', '_') AS l, row_number() OVER (ORDER BY r_regionkey) - 1 AS p FROM region), n AS (SELECT n_nationkey AS v, n_name AS l, row_number() OVER (ORDER BY n_nationkey) - 1 AS p FROM nation),
  m AS (SELECT l, l AS v, row_number() OVER (ORDER BY l) - 1 AS p FROM (SELECT DISTINCT c_mktsegment AS l FROM customer)) SELECT (r.p * (SELECT count(*) FROM n) + n.p) * (SELECT count(*) FROM m) + m.p AS point, 'sweep__' || r.l || '_' || n.l || '_' || m.l AS name,
  'data.region=' || r.v || ',model.nation=' || n.v || ',train.segment=' || m.v AS overrides FROM r, n, m""")
 def grid_expand(spark, sf_dir):
@@ -487,7 +500,7 @@ def override_routing(spark, sf_dir):
 
 
 @query(f"""WITH {R.LEDGER}, f AS (SELECT experiment_id, 'model.type' AS path, model_type AS value FROM ledger UNION ALL SELECT experiment_id, 'model.seed', CAST(seed AS VARCHAR) FROM ledger WHERE seed <> 0)
- SELECT experiment_id, sha256(string_agg(path || '=' || value, chr(10) ORDER BY path)) AS fingerprint FROM f GROUP BY experiment_id""")
+ SELECT experiment_id, sha256('[' || string_agg('{{"path":"' || path || '","value":"' || value || '"}}', ',' ORDER BY path) || ']') AS fingerprint FROM f GROUP BY experiment_id""")
 def config_fingerprint(spark, sf_dir):
     """Observed keys and defaults leave the hash alone."""
     flat = R.ledger(spark, sf_dir).select("experiment_id", F.inline(F.array(*[F.struct(F.lit(p).alias("path"), v.alias("value")) for p, v in (("model.type", F.col("model_type")), ("model.seed", F.col("seed").cast("string")), ("experiment.name", F.col("name")), ("data.tags.x", F.col("status")))])))
@@ -537,12 +550,14 @@ def label_identity(spark, sf_dir):
 
 
 @query(f"""WITH {R.LEDGER}, {R.VERDICTS}, p AS (SELECT *, CAST(split_part(stats_version, '.', 2) AS INT) AS mi, CAST(split_part(split_part(stats_version, '.', 3), '-', 1) AS INT) AS pa, CASE WHEN stats_version LIKE '%-dev' THEN 0 ELSE 1 END AS rel FROM verdicts)
- SELECT 'warn' AS severity, 'stale_version' AS kind, 'probe_id' AS key_name, probe_id AS key, stats_version AS detail FROM p WHERE mi < 2 OR (mi = 2 AND (pa < 3 OR (pa = 3 AND rel < 1)))
- UNION ALL SELECT 'error', 'schema', 'probe_id', probe_id, coalesce(schema_version, 'none') FROM verdicts WHERE schema_version IS DISTINCT FROM '1.0' UNION ALL SELECT 'warn', 'parse', 'probe_id', probe_id, 'late field; odd unit' FROM verdicts WHERE warned
- UNION ALL SELECT 'error', 'index_count', 'table', 'index', (SELECT count(*) FROM ledger) || ' vs ' || (SELECT count(*) FROM ledger WHERE ordinal % 100 > 0)""")
+ SELECT 'info' AS severity, 'stale_version' AS kind, 'probe_id' AS key_name, probe_id AS key, stats_version AS detail FROM p WHERE mi < 2 OR (mi = 2 AND (pa < 3 OR (pa = 3 AND rel < 1)))
+ UNION ALL SELECT 'info', 'schema', 'experiment_id', experiment_id, '2.1.0' FROM ledger WHERE ordinal % 50 = 1 UNION ALL SELECT 'info', 'parse', 'probe_id', probe_id, 'late field; odd unit' FROM verdicts WHERE warned
+ UNION ALL SELECT 'warn', 'index_count', 'table', 'index', (SELECT count(*) FROM ledger) || ' vs ' || (SELECT count(*) FROM ledger WHERE ordinal % 100 > 0)""")
 def drift_flags(spark, sf_dir):
     v, led = R.verdicts(spark, sf_dir), R.ledger(spark, sf_dir)
-    return monitor.all_drift(monitor.stale_versions(v, "0.2.3"), monitor.schema_drift(v, "1.0"), monitor.count_drift(led, led.filter("ordinal % 100 > 0")))
+    n = F.col("ordinal") % 50
+    led = led.withColumn("contract_version", F.when(n == 0, "").when(n == 1, "2.1.0").otherwise("2.2.7"))
+    return monitor.all_drift(monitor.stale_versions(v, "0.2.3"), monitor.schema_drift(led, v, "2.2.7"), monitor.count_drift(led, led.filter("ordinal % 100 > 0")))
 
 
 @query(f"""WITH {R.ATTEMPTS}, settled AS (SELECT task_id, min(attempt) AS attempt FROM stamped WHERE status = 'success' OR NOT coalesce(error_kind IN ('oom', 'gpu_acquire_timeout', 'broken_process_pool', 'subprocess_nonzero', 'io_error'), FALSE) OR attempt >= 3 GROUP BY task_id)
@@ -559,8 +574,8 @@ def sweep_counters(spark, sf_dir):
 # --- analyzers --------------------------------------------------------------
 
 
-@query(f"""WITH {_SMALL}, {_bootstrap_sql("model, ret", "small", "model || '/' || ret", REPS, _CUBE)}, m AS (SELECT p.model, p.ret, p.rep, avg(s.value) AS m FROM places p JOIN small s ON s.model = p.model AND s.ret = p.ret AND s.idx = p.idx GROUP BY p.model, p.ret, p.rep),
- ci AS (SELECT model, ret, quantile_cont(m, 0.025) AS lo FROM m GROUP BY model, ret), pt AS (SELECT model, ret, avg(value) AS mean FROM small GROUP BY model, ret),
+@query(f"""WITH {R.TRADES}, {_means_sql("model, ret", "trades", _KEY, REPS, _CUBE, "pnl")},
+ ci AS (SELECT model, ret, quantile_cont(m, 0.025) AS lo FROM m GROUP BY model, ret), pt AS (SELECT model, ret, avg(pnl) AS mean FROM trades GROUP BY model, ret),
  r AS (SELECT *, row_number() OVER (PARTITION BY model, ret, seed ORDER BY abs(pnl) DESC, trade_idx DESC) AS n FROM trades), s AS (SELECT model, ret, seed, coalesce(avg(CASE WHEN n > 5 THEN pnl END), 0) AS t FROM r GROUP BY model, ret, seed), tr AS (SELECT model, ret, avg(t) AS trim FROM s GROUP BY model, ret)
  SELECT pt.model, pt.ret, CASE WHEN mean >= 0.01 AND lo > 0 AND trim > 0 AND pt.ret = 'F' THEN 'GO' WHEN mean > 0 AND mean < 0.01 AND lo <= 0 AND trim > -0.005 AND trim < 0 THEN 'INDETERMINATE' ELSE 'REFUTE' END AS verdict FROM pt JOIN ci ON ci.model = pt.model AND ci.ret = pt.ret JOIN tr ON tr.model = pt.model AND tr.ret = pt.ret""")
 def analyze_seeds(spark, sf_dir):
@@ -568,7 +583,7 @@ def analyze_seeds(spark, sf_dir):
     from quillon.plans.analyzers import analyze_cells
 
     t = R.trades(spark, sf_dir)
-    return analyze_cells(_small(spark, sf_dir), t, ["model", "ret"], control=F.col("ret") == "F", replicates=REPS).select("model", "ret", "verdict")
+    return analyze_cells(R.numbered_trades(spark, sf_dir), t, ["model", "ret"], control=F.col("ret") == "F", replicates=REPS).select("model", "ret", "verdict")
 
 
 # --- features the engine adds to what records need --------------------------
@@ -584,10 +599,9 @@ def cube_rollup(spark, sf_dir):
  SELECT p.event_id, j.click_id FROM p LEFT JOIN j ON p.event_id = j.event_id AND n = 1""")
 def asof_join(spark, sf_dir):
     """Extension: the last click at or before each purchase, by one window over both."""
-    e = table(spark, sf_dir, "events").filter("event_type IN ('purchase', 'click')")
-    click = F.when(F.col("event_type") == "click", F.col("event_id"))
-    order = Window.partitionBy("user_id").orderBy("ts", F.col("event_type") == "purchase", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return e.withColumn("click_id", F.last(click, ignorenulls=True).over(order)).filter("event_type = 'purchase'").select("event_id", "click_id")
+    e = table(spark, sf_dir, "events")
+    clicks = e.filter("event_type = 'click'").withColumn("click_id", F.col("event_id"))
+    return asof(e.filter("event_type = 'purchase'"), clicks, ["user_id"], "ts", "click_id", ties=["event_id"]).select("event_id", "click_id")
 
 
 @query("""SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")

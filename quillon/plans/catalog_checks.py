@@ -9,14 +9,14 @@ from quillon.functions import scalars as S
 from quillon.functions.semantics import choose, finite, first_finite
 from quillon.operators import gates, grid, identity, monitor, records, reduce, scheduling, stats, validation
 from quillon.plans import roles as R
-from quillon.plans.catalog import REPS, _bootstrap_sql, query, rounded
+from quillon.plans.catalog import REPS, _means_sql, query, rounded
 from quillon.plans.roles import table
 from quillon.sources import files, sinks
 
 _SEEDS = R.LEDGER + ", seeds AS (SELECT model_type, CAST(ordinal % 30 AS BIGINT) AS idx, avg(metric_b) AS value FROM ledger GROUP BY model_type, ordinal % 30)"
 
 
-@query(f"""WITH {_SEEDS}, {_bootstrap_sql("model_type", "seeds", "model_type", REPS, "1")}, m AS (SELECT p.model_type, p.rep, avg(s.value) AS m FROM places p JOIN seeds s ON s.model_type = p.model_type AND s.idx = p.idx GROUP BY p.model_type, p.rep),
+@query(f"""WITH {_SEEDS}, {_means_sql("model_type", "seeds", "model_type", REPS, "1")},
  pt AS (SELECT model_type, count(*) AS n, avg(value) AS mean FROM seeds GROUP BY model_type) SELECT pt.model_type, pt.n, round(mean, 7) AS mean, round(quantile_cont(m, 0.025), 7) AS lo, round(quantile_cont(m, 0.975), 7) AS hi FROM pt JOIN m ON m.model_type = pt.model_type GROUP BY pt.model_type, pt.n, mean""")
 def bootstrap_seeds(spark, sf_dir):
     """Plain bootstrap over seeds: blocks of one."""
@@ -24,10 +24,10 @@ def bootstrap_seeds(spark, sf_dir):
     return rounded(stats.bootstrap_mean(v, ["model_type"], REPS, length=1).select("model_type", "n", "mean", "lo", "hi"), "mean", "lo", "hi", digits=7)
 
 
-@query(f"""WITH {R.LEDGER} SELECT name, sum(ordinal % 9) AS n_fallback, avg(ordinal % 9) > 4 AS warn FROM ledger GROUP BY name""")
+@query(f"""WITH {R.LEDGER} SELECT round(avg((ordinal % 9) / CAST(40 AS DOUBLE)), 8) AS share, avg((ordinal % 9) / CAST(40 AS DOUBLE)) > 0.1 AS warn FROM ledger""")
 def fallback_counts(spark, sf_dir):
-    rows = R.ledger(spark, sf_dir).groupBy("name").agg(F.sum(F.col("ordinal") % 9).alias("n_fallback"), F.avg((F.col("ordinal") % 9) / 40).alias("share"))
-    return rows.select("name", "n_fallback", (F.col("share") > 0.1).alias("warn"))
+    """Whether too many replicates of 40 fell back."""
+    return rounded(stats.fallback_warning(R.ledger(spark, sf_dir).withColumn("n_fallback", F.col("ordinal") % 9), 40), "share")
 
 
 @query(f"""WITH {R.LEDGER} SELECT experiment_id, CASE WHEN ordinal % 4 = 0 THEN 'b' WHEN ordinal % 7 <> 0 THEN 'c' END AS name, round(CASE WHEN ordinal % 4 = 0 THEN metric_a WHEN ordinal % 7 <> 0 THEN metric_b END, 8) AS value FROM ledger""")
@@ -50,7 +50,7 @@ def axis_extraction(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     axis = F.when(F.col("c_custkey") % 4 > 0, F.create_map(F.lit("model_type"), F.col("c_mktsegment"))).otherwise(F.create_map().cast("map<string,string>"))
     c = c.select("c_custkey", axis.alias("axis"), F.concat(F.lit("H"), (10 * (1 + F.col("c_nationkey") % 3)).cast("string")).alias("h"))
-    return c.select("c_custkey", F.coalesce(F.try_element_at("axis", F.lit("model_type")), F.lit("fallback")).alias("model"), F.expr("try_cast(regexp_replace(h, '^[Hh]', '') AS INT)").alias("horizon"))
+    return c.select("c_custkey", records.axis_value(F.col("axis"), "model_type", F.lit("fallback")).alias("model"), records.horizon_number(F.col("h")).alias("horizon"))
 
 
 @query(f"""WITH {R.SIGNALS}, h AS (SELECT treatment, md5(string_agg(CAST(CAST(label * 100 AS BIGINT) AS VARCHAR), ',' ORDER BY sample_idx)) AS sha FROM signals GROUP BY treatment) SELECT count(DISTINCT sha) AS n_labels, CAST(1 AS BIGINT) AS n_horizons, count(DISTINCT sha) = 1 AS paired FROM h""")
@@ -106,7 +106,7 @@ def verify_tree(spark, sf_dir):
     return identity.verify_tree(p, found)
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE sha256(p_name || '|' || p_brand || '|' || p_size) END AS key, CASE WHEN p_size % 3 = 0 THEN 'unresolved' ELSE p_type END AS commit_ FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE sha256('["' || p_name || '","' || p_brand || '","' || p_size || '"]') END AS key, CASE WHEN p_size % 3 = 0 THEN 'unresolved' ELSE p_type END AS commit_ FROM part""")
 def closed_keys(spark, sf_dir):
     """Keys of several inputs fail closed; provenance fails open."""
     n = F.col("p_size")
@@ -171,12 +171,12 @@ def failure_records(spark, sf_dir):
 @query(f"""WITH {R.CACHE} SELECT cache_key, size_bytes FROM cache ORDER BY size_bytes DESC, cache_key LIMIT 20""")
 def cache_listing(spark, sf_dir):
     """The feature is a list of the 20 largest."""
-    return R.cache(spark, sf_dir).orderBy(F.desc("size_bytes"), "cache_key").limit(20).select("cache_key", "size_bytes")
+    return reduce.largest(R.cache(spark, sf_dir), 20).select("cache_key", "size_bytes")
 
 
 @query(f"""WITH {R.CACHE} SELECT count(*) AS n, sum(size_bytes) AS total_bytes, bool_and(size_bytes > 0) AS complete FROM cache""")
 def cache_size(spark, sf_dir):
-    return R.cache(spark, sf_dir).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("total_bytes"), F.bool_and(F.col("size_bytes") > 0).alias("complete"))
+    return reduce.cache_size(R.cache(spark, sf_dir))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 AND c_nationkey >= 10 THEN TRUE ELSE FALSE END AS overdue, 'b' || chr(10) || c_name AS tail, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey || '' END AS last_, substr(c_name, 1, 10) AS short FROM customer""")
@@ -201,10 +201,10 @@ def trade_fractions(spark, sf_dir):
     return rounded(files.trade_fractions(expected, t, 100.0, on=["model", "ret"]).groupBy("model", "ret").agg(F.sum("pnl").alias("total")), "total", digits=6)
 
 
-@query("""SELECT user_id AS experiment_id, count(*) AS n, round(max(value), 6) AS top FROM events WHERE event_id % 97 <> 0 GROUP BY user_id""")
+@query("""SELECT user_id AS experiment_id, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY user_id""")
 def history_documents(spark, sf_dir):
     """Histories written as JSON of either shape and read back."""
-    e = table(spark, sf_dir, "events").filter("event_id % 97 <> 0").groupBy("user_id").agg(F.collect_list(F.round("value", 6)).alias("v"))
+    e = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(F.round("value", 6)).alias("v"))
     rows, columns = F.to_json(F.transform("v", lambda x: F.struct(x.alias("val_loss")))), F.to_json(F.struct(F.col("v").alias("val_loss")))
     docs = e.select(F.col("user_id").alias("experiment_id"), F.when(F.col("user_id") % 2 == 0, rows).otherwise(columns).alias("text"))
     return rounded(files.history_rows(docs).groupBy("experiment_id").agg(F.count("*").alias("n"), F.max("value").alias("top")), "top", digits=6)
@@ -221,10 +221,28 @@ def passing_cells(spark, sf_dir):
     return reduce.passing(m, F.col("v") > 0.5, 6)
 
 
-@query("""WITH m AS (SELECT DISTINCT c_mktsegment AS s FROM customer), r AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS p FROM m), n AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS p FROM nation WHERE n_nationkey < 5) SELECT r.p AS point, 'sweep__' || n.n_name || '_' || r.s AS name FROM r JOIN n ON r.p = n.p""")
+@query("""WITH m AS (SELECT DISTINCT c_mktsegment AS s FROM customer), r AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS p FROM m), n AS (SELECT replace(r_name, ' ', '_') AS l, row_number() OVER (ORDER BY r_regionkey) - 1 AS p FROM region)
+ SELECT r.p AS point, 'sweep__' || n.l || '_' || r.s AS name FROM r JOIN n ON r.p = n.p""")
 def grid_zip(spark, sf_dir):
-    """Extension: axes taken side by side."""
+    """Extension: axes of one length, regions and segments, taken side by side."""
     w = lambda c: (F.row_number().over(Window.orderBy(c)) - 1).cast("long")  # noqa: E731  tables of a few rows
-    n = table(spark, sf_dir, "nation").filter("n_nationkey < 5").select(F.lit("nation").alias("axis"), F.lit(0).alias("axis_pos"), F.col("n_name").alias("label"), w("n_nationkey").alias("value_pos"))
+    n = table(spark, sf_dir, "region").select(F.lit("region").alias("axis"), F.lit(0).alias("axis_pos"), F.replace(F.col("r_name"), F.lit(" "), F.lit("_")).alias("label"), w("r_regionkey").alias("value_pos"))
     m = table(spark, sf_dir, "customer").select("c_mktsegment").distinct().select(F.lit("segment").alias("axis"), F.lit(1).alias("axis_pos"), F.col("c_mktsegment").alias("label"), w("c_mktsegment").alias("value_pos"))
     return grid.zipped(n.unionByName(m), "sweep").select("point", "name")
+
+
+@query(f"""WITH {R.LEDGER}, t AS (SELECT DISTINCT sweep_id, seed FROM ledger WHERE ordinal % 97 = 0) SELECT experiment_id, CASE WHEN t.seed IS NULL THEN 'unknown' ELSE 'checked' END AS trust
+ FROM ledger l LEFT JOIN t ON t.sweep_id = l.sweep_id AND t.seed = l.seed""")
+def sweep_trust(spark, sf_dir):
+    """What is known of a record's sweep and seed."""
+    rows = R.ledger(spark, sf_dir)
+    trust = rows.filter("ordinal % 97 = 0").select("sweep_id", "seed", F.lit("checked").alias("trust"))
+    return records.trusted(rows, trust).select("experiment_id", "trust")
+
+
+@query("""SELECT event_id, '/k' AS path, json_extract_string(props, '$.k') AS value FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
+def config_leaves(spark, sf_dir):
+    """Leaves of nested documents by path."""
+    nested = F.concat(F.lit('{"a": {"b": '), F.col("props"), F.lit("}}"))
+    rows = table(spark, sf_dir, "events").select("event_id", nested.alias("doc"))
+    return records.flatten_json(rows, "event_id", "doc").filter("path = 'a.b.k'").select("event_id", F.lit("/k").alias("path"), "value")

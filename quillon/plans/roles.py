@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quillon.operators.ranking import global_rank
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,6 +49,15 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("ret"), "seed", "pnl", idx.cast("long").alias("idx"), own.cast("long").alias("trade_idx"))
 
 
+def numbered_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trades as (model, ret, idx, value), idx from 0 without gaps in each cell; numbered over ranges, not by cell."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", *ORDER)
+    placed = global_rank(rows, *[F.col(c) for c in ("l_returnflag", "l_linestatus", *ORDER)], name="place")
+    rows = placed.select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("ret"), "place", (F.col("l_extendedprice") * (F.col("l_discount") - 0.05) / 100000).alias("value"))
+    first = rows.groupBy("model", "ret").agg(F.min("place").alias("first"))
+    return rows.join(F.broadcast(first), ["model", "ret"]).select("model", "ret", (F.col("place") - F.col("first")).alias("idx"), "value")  # one row a cell
+
+
 TRADES = """trades AS (SELECT l_returnflag AS model, l_linestatus AS ret, l_suppkey % 5 AS seed, l_extendedprice * (l_discount - CAST(0.05 AS DOUBLE)) / 100000 AS pnl,
  row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate) - 1 AS idx,
  row_number() OVER (PARTITION BY l_returnflag, l_linestatus, l_suppkey % 5 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate) - 1 AS trade_idx FROM lineitem)"""
@@ -135,10 +146,10 @@ ATTEMPTS = """log AS (SELECT user_id AS task_id, ts, event_id, CASE WHEN event_t
 
 
 def axes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three axes: regions, nations of key below 4, market segments."""
+    """Three axes: regions, nations, market segments."""
     w = lambda c: (F.row_number().over(Window.orderBy(c)) - 1).cast("long")  # noqa: E731  tables of a few rows
     entry = lambda k, v: F.map_from_arrays(F.array(F.lit(k)), F.array(v.cast("string")))
     r = table(spark, sf_dir, "region").select(F.lit("region").alias("axis"), F.lit(0).alias("axis_pos"), F.replace(F.replace(F.col("r_name"), F.lit(" "), F.lit("_")), F.lit("."), F.lit("_")).alias("label"), w("r_regionkey").alias("value_pos"), entry("data.region", F.col("r_regionkey")).alias("overrides"))
-    n = table(spark, sf_dir, "nation").filter("n_nationkey < 4").select(F.lit("nation").alias("axis"), F.lit(1).alias("axis_pos"), F.col("n_name").alias("label"), w("n_nationkey").alias("value_pos"), entry("model.nation", F.col("n_nationkey")).alias("overrides"))
+    n = table(spark, sf_dir, "nation").select(F.lit("nation").alias("axis"), F.lit(1).alias("axis_pos"), F.col("n_name").alias("label"), w("n_nationkey").alias("value_pos"), entry("model.nation", F.col("n_nationkey")).alias("overrides"))
     m = table(spark, sf_dir, "customer").select("c_mktsegment").distinct().select(F.lit("segment").alias("axis"), F.lit(2).alias("axis_pos"), F.col("c_mktsegment").alias("label"), w("c_mktsegment").alias("value_pos"), entry("train.segment", F.col("c_mktsegment")).alias("overrides"))
     return r.unionByName(n).unionByName(m)

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from quillon.functions.scalars import last_match, minor_differs
 from quillon.functions.semantics import choose, is_finite
+from quillon.operators.identity import canonical_hash
+from quillon.operators.records import flatten_json
 
 S, D, L, B = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
 _numbers = T.MapType(S, D)
@@ -23,11 +25,23 @@ _numbers = T.MapType(S, D)
 RECORD = T.StructType(
     [T.StructField(n, S) for n in ("experiment_id", "name", "fingerprint", "record_type", "status", "created_at", "sweep_id", "parent_experiment_id", "contract_version", "hypothesis", "description", "notes", "manifest_path", "compatibility_fingerprint", "experiment_provenance_hash", "signal_export_output_dir")]
     + [T.StructField("duration_seconds", D), T.StructField("tags", T.ArrayType(S)), T.StructField("stages_completed", T.ArrayType(S)), T.StructField("axis_values", T.MapType(S, S))]
-    + [T.StructField("training_metrics", _numbers), T.StructField("backtest_metrics", _numbers)]
-    + [T.StructField(n, S) for n in ("training_config", "extraction_config", "backtest_params", "gate_reports", "cache_info", "sweep_failure_info", "provenance")]
+    + [T.StructField(n, S) for n in ("training_metrics", "backtest_metrics")]
+    + [T.StructField(n, S) for n in ("training_config", "extraction_config", "backtest_params", "gate_reports", "cache_info", "sweep_failure_info", "provenance", "dataset_health")]
+    + [
+        T.StructField("artifacts", T.ArrayType(T.StructType([T.StructField(n, S) for n in ("kind", "method", "path", "sha256")] + [T.StructField("bytes", L)]))),
+        T.StructField("sub_records", T.ArrayType(T.StructType([*[T.StructField(n, S) for n in ("experiment_id", "name", "fingerprint", "status")], T.StructField("duration_seconds", D), T.StructField("axis_values", T.MapType(S, S)), T.StructField("training_metrics", S), T.StructField("backtest_metrics", S)]))),
+        T.StructField("feature_set_ref", T.StructType([T.StructField("name", S), T.StructField("content_hash", S)])),
+    ]
 )
 
 
+def _metrics(name: str) -> dict:
+    """A metrics object as a map of its numbers, and what is no number (nested or text) as a map of JSON texts beside it."""
+    texts = F.from_json(name, "map<string,string>")
+    numbers = F.transform_values(texts, lambda _, v: v.try_cast("double"))
+    return {name: F.map_filter(numbers, lambda _, v: v.isNotNull()), f"{name}_other": F.map_filter(texts, lambda _, v: v.try_cast("double").isNull() & v.isNotNull())}
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Record files (one JSON object each) in the order of their file names, as ``ordinal``; open sub-trees stay JSON text.
 
@@ -37,7 +51,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
     config = lambda *paths: F.coalesce(*[F.get_json_object(c, p) for c in ("training_config", "extraction_config") for p in paths])
     derived = {"model_type": config("$.model.model_type", "$.model_type"), "labeling_strategy": config("$.data.labeling_strategy", "$.labels.strategy", "$.labeling_strategy")}
-    return rows.withColumns({"file": F.col("_metadata.file_name"), "ordinal": F.col("_metadata.file_name"), **derived})
+    derived["model_config_hash"] = config("$.model_config_hash")
+    return rows.withColumns({"file": F.col("_metadata.file_name"), "ordinal": F.col("_metadata.file_name"), **derived, **_metrics("training_metrics"), **_metrics("backtest_metrics")})
 
 
 def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -55,14 +70,18 @@ def find_record(records: DataFrame, experiment_id: str) -> DataFrame:
 
 
 def describe_record(records: DataFrame, experiment_id: str) -> DataFrame:
-    """(section, key, value) of one record: header, hashes, sorted metrics."""
+    """(section, key, value) of one record: header and hashes, then metrics, provenance, health and gate reports, artifacts, each sorted by key."""
     row = find_record(records, experiment_id)
     plain = ("experiment_id", "name", "record_type", "status", "created_at", "fingerprint", "compatibility_fingerprint", "experiment_provenance_hash")
     head = row.select(F.inline(F.array(*[F.struct(F.lit("header").alias("section"), F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in plain])))
-    out = head
-    for section in ("training_metrics", "backtest_metrics"):
-        out = out.unionByName(row.select(F.explode(F.map_entries(section)).alias("e")).select(F.lit(section).alias("section"), F.col("e.key").alias("key"), F.col("e.value").cast("string").alias("value")))
-    return out
+    out = head.withColumn("_o", F.lit(0))
+    say = lambda df, o, section, key, value: df.select(F.lit(section).alias("section"), key.alias("key"), value.cast("string").alias("value"), F.lit(o).alias("_o"))
+    for o, section in enumerate(("training_metrics", "training_metrics_other", "backtest_metrics", "backtest_metrics_other"), 1):
+        out = out.unionByName(say(row.select(F.explode(F.map_entries(section)).alias("e")), o, section, F.col("e.key"), F.col("e.value")))
+    for o, section in enumerate(("provenance", "dataset_health", "gate_reports", "cache_info", "sweep_failure_info"), 5):
+        out = out.unionByName(say(flatten_json(row, "experiment_id", section), o, section, F.col("path"), F.col("value")))
+    out = out.unionByName(say(row.select(F.explode("artifacts").alias("a")), 10, "artifacts", F.concat_ws("/", "a.kind", "a.path"), F.col("a.sha256")))
+    return out.orderBy("_o", F.when(F.col("_o") > 0, F.col("key"))).drop("_o")
 
 
 def index_status(envelopes: DataFrame, version: str, text: str = "text") -> DataFrame:
@@ -74,25 +93,32 @@ def index_status(envelopes: DataFrame, version: str, text: str = "text") -> Data
     return envelopes.withColumn("index_status", state)
 
 
-def read_verdicts(spark: SparkSession, roots: Sequence[str], folder: str = "results", deny: Sequence[str] = (), skip_prefix: Sequence[str] = ("_", "."), skip_glob: str = r"shard[0-9]+of[0-9]+") -> DataFrame:
+def read_verdicts(spark: SparkSession, roots: Sequence[str], folder: str = "results", deny: Sequence[str] = (), skip_prefix: Sequence[str] = ("_", "."), skip_glob: str = r"shard[0-9]+of[0-9]+", skip_folders: Sequence[str] = (".venv", "site-packages"), gated_out: bool = True) -> DataFrame:
     """Verdict files that are direct children of a ``results`` folder under any root, sorted by tree, study and file.
 
-    Files of denied names, hidden prefixes or shard parts are left out.
+    Files of denied names, hidden prefixes or shard parts are left out, and
+    those below a folder of ``skip_folders``; ``gated_out=False`` leaves out
+    verdicts of GATED_OUT too.  A verdict without a digest of its configuration
+    has that of its ``config`` object's canonical JSON.
     """
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(list(roots), wholetext=True).withColumn("source_path", F.col("_metadata.file_path"))
     parts = F.split("source_path", "/")
     rows = rows.withColumns({"file": F.element_at(parts, -1), "folder": F.element_at(parts, -2), "study": F.element_at(parts, -3)}).filter(F.col("folder") == folder)
+    rows = rows.filter(~F.arrays_overlap(parts, F.array(*[F.lit(x) for x in ("\x00", *skip_folders)])))
     for p in skip_prefix:
         rows = rows.filter(~F.col("file").startswith(p))
     rows = rows.filter(~F.col("file").rlike(skip_glob))
     if deny:
         rows = rows.filter(~F.col("file").isin(*deny))
+    if not gated_out:
+        rows = rows.filter(~F.coalesce(F.get_json_object("value", "$.verdict") == "GATED_OUT", F.lit(False)))
     tree = F.try_parse_json("value")
     get = lambda p, t: F.try_variant_get(tree, p, t)
+    own = canonical_hash(F.get_json_object("value", "$.config"))
     return rows.select(
         "study", "file", "source_path",
         get("$.verdict", "string").alias("verdict"), get("$.any_tradeable_edge", "boolean").alias("any_tradeable_edge"),
-        get("$.deflated_sharpe_ratio", "double").alias("deflated_sharpe_ratio"), get("$.config_sha256", "string").alias("config_sha256"),
+        get("$.deflated_sharpe_ratio", "double").alias("deflated_sharpe_ratio"), F.coalesce(get("$.config_sha256", "string"), own).alias("config_sha256"),
         get("$.run_timestamp_utc", "string").alias("run_timestamp_utc"), get("$.metrics_version", "string").alias("stats_version"), get("$.schema_version", "string").alias("schema_version"),
         F.when(tree.isNull(), F.array(F.lit("not JSON"))).otherwise(F.array().cast("array<string>")).alias("parse_warnings"),
     ).orderBy("study", "file", "source_path")

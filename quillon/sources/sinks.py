@@ -27,6 +27,19 @@ def exists(spark, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def index_envelope(records: DataFrame, version: str) -> DataFrame:
+    """(entry, schema_version) of an index: one JSON object for each record, sorted by its ordinal."""
+    plain = [c for c in records.columns if c not in ("ordinal", "file")]
+    return records.orderBy("ordinal").select(F.to_json(F.struct(*plain)).alias("entry"), F.lit(version).alias("schema_version"))
+
+
+def write_index(records: DataFrame, version: str, folder: str) -> None:
+    """Write a versioned index: entries in part files of one JSON object a line, and beside them the schema they have."""
+    index_envelope(records, version).select("entry").write.mode("overwrite").text(f"{folder}/entries")
+    schema = json.dumps({"schema": {"version": version}, "entries": "entries"})
+    records.sparkSession.createDataFrame([(schema,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/envelope")
+
+
 def with_notes(records: DataFrame, experiment_id: str, notes: str, key: str = "experiment_id") -> DataFrame:
     """The one field that may change."""
     return records.withColumn("notes", F.when(F.col(key) == experiment_id, F.lit(notes)).otherwise(F.col("notes")))
@@ -40,9 +53,14 @@ def artifact_paths(artifacts: DataFrame, kind: str = "kind", created: str = "cre
 
 
 def write_artifacts(store: str, artifacts: DataFrame) -> None:
-    """Add the contents that the store does not have, partitioned by kind and month; writing again adds nothing."""
+    """Add the contents that the store does not have, partitioned by kind and month of first creation; writing again adds nothing.
+
+    Rows whose digest is no SHA-256 are left out, as :func:`artifact_paths` leaves them out.
+    """
     spark = artifacts.sparkSession
-    new = artifacts.dropDuplicates(["kind", "sha256"]).withColumn("month", F.replace(F.substring("created_at", 1, 7), F.lit("-"), F.lit("_")))
+    rest = [c for c in artifacts.columns if c not in ("kind", "sha256", "created_at")]
+    first = F.min(F.struct("created_at", *rest)).alias("first")  # of equal contents the earliest
+    new = artifacts.filter(is_sha256(F.col("sha256"))).groupBy("kind", "sha256").agg(first).select("kind", "sha256", "first.*").withColumn("month", F.replace(F.substring("created_at", 1, 7), F.lit("-"), F.lit("_")))
     if exists(spark, store):
         new = new.join(spark.read.parquet(store).select("kind", "sha256"), ["kind", "sha256"], "left_anti")
     new.write.mode("append").partitionBy("kind", "month").parquet(store)

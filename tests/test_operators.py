@@ -43,7 +43,10 @@ def test_filter_truthiness(spark):
 def test_prior_best_wildcards(spark):
     df = spark.createDataFrame([(0, "a", None, 1.0), (1, "a", 10, 3.0), (2, "a", None, 3.0)], "ordinal long, model string, h int, m double")
     assert rows(records.prior_best(df, "m", {"model": "a", "h": ""}), "ordinal", "n_matches") == [(1, 3)]
-    assert rows(records.prior_best(df, "m", {"model": "", "h": None}), "ordinal", "n_matches") == [(2, 2)]
+    assert records.prior_best(df, "m", {"model": "", "h": None}).count() == records.prior_best(df, "m", {"model": "", "h": 0}).count() == 0
+    typed = df.withColumn("record_type", F.when(F.col("ordinal") == 1, "backtest"))
+    assert rows(records.prior_best(typed, "m", {"model": "a", "h": ""}), "ordinal", "n_matches") == [(2, 2)]
+    assert rows(records.prior_best(df.withColumn("m", F.lit(float("nan"))), "m", {"model": "a"}), "ordinal", "n_matches") == [(None, 3)]
     assert records.prior_best(df, "m", {"model": "", "h": ""}).count() == 0
 
 
@@ -70,8 +73,17 @@ def test_reductions(spark):
     t = spark.createDataFrame([("c", 0, i, float(v)) for i, v in enumerate([1, -9, 2])] + [("c", 1, 0, 5.0)], "cell string, seed int, trade_idx long, pnl double")
     assert rows(reduce.trimmed_means(t, ["cell"], 1), "cell", "trimmed_mean") == [("c", 0.75)]
     cache = spark.createDataFrame([("a", 1.0, 10, True), ("b", 2.0, 10, False), ("c", 2.0, 10, False), ("d", 3.0, 10, False)], "cache_key string, mtime double, size_bytes long, pinned boolean")
-    assert rows(reduce.evictions(cache, 20).filter("evict"), "cache_key") == [("b",), ("c",)]
-    assert reduce.evictions(cache, 40).filter("evict").count() == 0
+    gone = lambda *a: rows(reduce.evictions(cache, *a).filter("evict"), "cache_key")
+    assert gone(20) == [("b",)] and gone(10) == [("b",), ("c",)] and gone(30) == []  # the pinned entry does not count
+    assert gone(10, 7.5, 10.0) == [("b",), ("c",)] and gone(0, 7.5, 10.0) == [("b",), ("c",)] and gone(30, 7.5, 10.0) == []
+    assert gone(None, 7.5, 10.0) == [("b",), ("c",)]
+    assert rows(reduce.evictions(cache.withColumn("p", F.lit(1)), 10, partitions=["p"]).filter("evict"), "cache_key") == [("b",), ("c",)]
+    runs = spark.createDataFrame([("r", 0, True, None, 9.0), ("r", 1, True, 2.0, 1.0), ("s", 0, True, None, 1.0), ("s", 1, True, None, 3.0), ("t", 0, False, 9.0, 1.0), ("t", 1, False, 1.0, 2.0)], "run string, o int, zero_dte boolean, option_return double, total_return double")
+    assert rows(reduce.best_threshold(runs, "run", "o"), "run", "o", "score") == [("r", 1, 2.0), ("s", 1, 3.0), ("t", 1, 2.0)]
+    kids = spark.createDataFrame([("a", "A", "completed", "f2"), ("a", "A", "partial", "f1"), ("b", "B", "failed", ""), ("b", "B", "partial", None), ("c", "C", "partial", "f3"), ("d", "D", "failed", "x"), ("d", "D", "completed", "x")], "sweep_id string, sweep_name string, status string, fingerprint string").withColumn("duration_seconds", F.lit(1.0))
+    made = {r["sweep_id"]: (r["status"], r["fingerprint"]) for r in reduce.rollup(kids).collect()}
+    digest = lambda name, *kids: hashlib.sha256(json.dumps({"children": sorted(kids), "sweep_name": name}, sort_keys=True).encode()).hexdigest()
+    assert made == {"a": ("completed", digest("A", "f1", "f2")), "b": ("failed", digest("B")), "c": ("unknown", digest("C", "f3")), "d": ("partial", digest("D", "x", "x"))}
 
 
 def test_bootstrap_contract(spark):
@@ -83,6 +95,61 @@ def test_bootstrap_contract(spark):
     assert r == stats.bootstrap_mean(many.repartition(3), ["cell"], 200).first()
 
 
+def test_bootstrap_by_hand(spark, monkeypatch):
+    """Block means by running sums equal means over the drawn places, over several chunks, with a cut last block and bad values."""
+    monkeypatch.setattr(stats, "CHUNK", 16)
+    for n, bad in ((50, None), (7, None), (40, 11)):
+        values = [(-1.5) ** (i % 5) + i / 10 for i in range(n)]
+        if bad is not None:
+            values[bad] = float("nan")
+        df = spark.createDataFrame([("a", "b", i, v) for i, v in enumerate(values)], "x string, y string, idx long, value double").repartition(3)
+        got = {r["rep"]: r["m"] for r in stats._resampled_means(df, ["x", "y"], 30, 42, None).collect()}
+        size = round(n ** (1 / 3) + 0.499999)
+        size = max(1, n // 5) if n // size < 5 else size
+        for rep in range(30):
+            places = []
+            for block in range(-(-n // size)):
+                start = int(hashlib.md5(f"42|a/b|{rep}|{block}".encode()).hexdigest()[:8], 16) % (n - size + 1)
+                places += range(start, start + size)
+            drawn = [values[p] for p in places[:n]]
+            want = None if any(v != v for v in drawn) else sum(drawn) / n
+            assert (got[rep] is None) == (want is None) and (want is None or abs(got[rep] - want) < 1e-9)
+
+
+def test_published_pair_of_precisions(spark):
+    """A published paired test."""
+    two, one = stats.mcnemar_p(538, 381)
+    assert math.isclose(two, 2.6614880087541583e-07, rel_tol=1e-6) and math.isclose(one, 1.248135592415494e-07, rel_tol=1e-6)
+
+
+def test_collision_free_hashes(spark):
+    row = spark.range(1)
+    h = lambda *xs: row.select(identity.all_or_nothing_hash(*[F.lit(x) for x in xs])).first()[0]
+    assert h("a|b", "c") != h("a", "b|c") and h("a", "b") == hashlib.sha256(b'["a","b"]').hexdigest()
+    flat = spark.createDataFrame([("u", "p", "1\nq=2", "str"), ("v", "p", "1", "str"), ("v", "q", "2", "str"), ("w", "p", "1", "int"), ("w", "q", "2", "str")], "k string, path string, value string, value_type string")
+    assert len({r["fingerprint"] for r in identity.fingerprints(flat, "k").collect()}) == 3
+    untyped = identity.fingerprints(flat.drop("value_type"), "k").collect()
+    assert len({r["fingerprint"] for r in untyped}) == 2
+    assert records.leaves('{"a": {"b": [1, {"c": 2}], "d": {}}, "e": null}') == [("a.b", '[1, {"c": 2}]'), ("a.d", "{}"), ("e", "null")]
+    assert records.leaves("[1]") == records.leaves("x") == records.leaves(None) == records.leaves("[" * 10**5) == []
+
+
+def test_gate_checks(spark):
+    """The reference's rules for cost and for the sign of a good correlation."""
+    v = lambda x: F.lit(x).cast("double")
+    one = lambda c: spark.range(1).select(c.alias("c")).first()["c"]
+    for rmse, mae, least, want in ((5.0, None, 4.0, "pass"), (3.0, 9.0, 4.0, "warn"), (0.0, 9.0, 4.0, "pass"), (None, 4.0, 4.0, "pass"), (None, None, 4.0, "skip"), (1.0, 1.0, 0.0, "skip")):
+        assert one(gates.cost_check(v(rmse), v(mae), least)) == want
+    for ic, da, p, primary, want in ((0.2, 0.4, 0.01, "test_ic", "warn"), (0.2, 0.4, 0.2, "test_ic", "pass"), (0.05, 0.4, 0.01, "test_ic", "skip"), (0.2, 0.4, 0.01, "f1", "skip"), (0.2, None, 0.01, "test_ic", "skip"), (None, 0.4, 0.01, "test_ic", "skip")):
+        assert one(gates.sign_flip_check(v(ic), 0.1, v(da), v(p), primary=primary)) == want
+
+
+def test_asof(spark):
+    left = spark.createDataFrame([("u", 5, "p"), ("u", 1, "q"), ("w", 9, "r")], "k string, t long, id string")
+    right = spark.createDataFrame([("u", 2, 20), ("u", 5, 50), ("u", 7, 70)], "k string, t long, v long")
+    assert rows(ranking.asof(left, right, ["k"], "t", "v"), "id", "v") == [("p", 50), ("q", None), ("r", None)]
+
+
 def test_statistics(spark):
     assert stats.mcnemar_p(0, 0) == (1.0, 1.0)
     assert math.isclose(stats.mcnemar_p(10, 2)[0], 2 * sum(math.comb(12, k) for k in (10, 11, 12)) / 2**12)
@@ -113,7 +180,7 @@ def test_verdict_seeds(spark, mean, lo, trim, control, invariant, want):
 
 
 def test_prior_check(spark):
-    cases = [(1.0, 1.0, 0.9, "pass"), (0.5, 1.0, 0.9, "fail"), (0.0, 0.0, 0.9, "pass"), (-1.0, 0.0, 0.9, "fail"), (-0.5, -1.0, 0.9, "pass"), (-2.0, -1.0, 0.9, "fail"), (None, 1.0, 0.9, "skip"), (1.0, 1.0, 0.0, "skip")]
+    cases = [(1.0, 1.0, 0.9, "pass"), (0.5, 1.0, 0.9, "fail"), (0.0, 0.0, 0.9, "pass"), (-1.0, 0.0, 0.9, "pass"), (-0.5, -1.0, 0.9, "pass"), (-2.0, -1.0, 0.9, "fail"), (None, 1.0, 0.9, "skip"), (1.0, 1.0, 0.0, "skip")]
     for value, prior, least, want in cases:
         c = gates.prior_check(F.lit(value).cast("double"), F.lit(prior), least)
         assert spark.range(1).select(c.alias("c")).first()["c"] == want

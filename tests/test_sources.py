@@ -23,6 +23,13 @@ def test_records_with_quarantine(spark, tmp_path):
     assert [r["file"] for r in bad.collect()] == ["c.json"]
     assert ("training_metrics", "f1", "0.5") in {tuple(r) for r in files.describe_record(good, "e2").collect()}
     assert files.find_record(good, "nope").count() == 0
+    write(tmp_path / "more" / "d.json", json.dumps({"experiment_id": "e4", "training_metrics": {"z": 1, "f1": 0.25, "nested": {"a": 1}}, "artifacts": [{"kind": "plot", "path": "p", "sha256": "s", "bytes": 3}], "sub_records": [{"experiment_id": "c", "training_metrics": {"f1": 1}}], "feature_set_ref": {"name": "n", "content_hash": "h"}, "provenance": {"git": {"branch": "main"}}, "training_config": {"model_config_hash": "m"}}))
+    row = files.read_records(spark, str(tmp_path / "more"))
+    r = row.first()
+    assert r["training_metrics"] == {"z": 1.0, "f1": 0.25} and r["training_metrics_other"] == {"nested": '{"a":1}'} and r["model_config_hash"] == "m"
+    assert r["artifacts"][0]["bytes"] == 3 and r["sub_records"][0]["experiment_id"] == "c" and r["feature_set_ref"]["content_hash"] == "h"
+    told = [tuple(x) for x in files.describe_record(row, "e4").collect()]
+    assert [x for x in told if x[0] != "header"] == [("training_metrics", "f1", "0.25"), ("training_metrics", "z", "1.0"), ("training_metrics_other", "nested", '{"a":1}'), ("provenance", "git.branch", '"main"'), ("artifacts", "plot/p", "s")]
 
 
 def test_index_status(spark):
@@ -92,7 +99,9 @@ def test_sinks(spark, tmp_path):
     blobs = str(tmp_path / "blobs")
     sinks.write_artifacts(blobs, art)
     sinks.write_artifacts(blobs, art)
-    assert spark.read.parquet(blobs).count() == 2
+    assert [(r["sha256"], r["created_at"]) for r in spark.read.parquet(blobs).collect()] == [("a" * 64, "2026-03-04")]
+    sinks.write_index(new.withColumn("ordinal", F.col("experiment_id")), "1.2.0", str(tmp_path / "index"))
+    assert [json.loads(r["value"])["experiment_id"] for r in spark.read.text(str(tmp_path / "index/entries")).collect()] == ["a", "b"]
     shapes = spark.createDataFrame([("a", '{"f1": 1}'), ("b", '{"metrics": {"f1": 2}}'), ("c", '{"test": {"f1": 3}}'), ("d", '[{"f1": 0}, {"f1": 4}]')], "name string, text string")
     assert [(r["shape"], r["metrics"]["f1"]) for r in sinks.records_from_metrics(shapes).orderBy("name").collect()] == [("flat", 1.0), ("metrics", 2.0), ("test", 3.0), ("list", 4.0)]
     assert sinks.render(new.select("experiment_id"), "markdown").splitlines()[2] == "| a |"
