@@ -41,7 +41,7 @@ WINDOW, GRAM = 13, 6
 RUN = 32
 #: Words of a shard's index, about.
 SHARD_WORDS = 1 << 20
-HOT_ROWS = 20_000
+HOT_ROWS = 50_000
 #: Segments a task sums up before it sends them on.
 HELD = 100_000
 #: UTF-8 bytes of text for each anchor of a document that the filters are laid out for.
