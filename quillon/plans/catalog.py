@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 REPS = 1000  # replicates of registered bootstrap queries; operators default to 10,000
+PLAIN_REPS = 100  # of the plain bootstrap over all trades, which draws every trade in every replicate
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -292,12 +293,12 @@ def bootstrap_mean(spark, sf_dir):
     return rounded(out.select("model", "ret", "n", "mean", "lo", "hi"), "mean", "lo", "hi", digits=7)
 
 
-@query(f"""WITH {R.TRADES}, {_means_sql("model, ret", "trades", _KEY, REPS, "1", "pnl + 1")}, pt AS (SELECT model, ret, count(*) AS n, avg(pnl + 1) AS mean FROM trades GROUP BY model, ret)
+@query(f"""WITH {R.TRADES}, {_means_sql("model, ret", "trades", _KEY, PLAIN_REPS, "1", "pnl + 1")}, pt AS (SELECT model, ret, count(*) AS n, avg(pnl + 1) AS mean FROM trades GROUP BY model, ret)
  SELECT pt.model, pt.ret, pt.n, round(2 / mean, 7) AS ratio, round(quantile_cont(2 / m, 0.025), 7) AS lo, round(quantile_cont(2 / m, 0.975), 7) AS hi FROM pt JOIN m ON m.model = pt.model AND m.ret = pt.ret GROUP BY pt.model, pt.ret, pt.n, mean""")
 def bootstrap_ratio(spark, sf_dir):
     """Intervals of a ratio to the mean of all trades of a cell, by the plain bootstrap."""
     values = R.numbered_trades(spark, sf_dir).withColumn("value", F.col("value") + 1)
-    out = stats.bootstrap_ratio(values, ["model", "ret"], F.lit(2.0), REPS)
+    out = stats.bootstrap_ratio(values, ["model", "ret"], F.lit(2.0), PLAIN_REPS)
     return rounded(out.select("model", "ret", "n", "ratio", "lo", "hi"), "ratio", "lo", "hi", digits=7)
 
 
