@@ -195,6 +195,12 @@ def axis_value(axes: Column, name: str, configured: Column) -> Column:
     return F.coalesce(F.try_element_at(axes, F.lit(name)), configured)
 
 
+def metric_from(name: str, *places: Column, missing: float | None = None) -> Column:
+    """A metric from the first of several maps that has a number under its name (not a number in the sense of text is
+    passed over, NaN counts); ``missing`` where none has."""
+    return F.coalesce(*[F.try_element_at(p, F.lit(name)).try_cast("double") for p in places], F.lit(missing).cast("double"))
+
+
 def horizon_number(text: Column) -> Column:
     """H60 or 60 as 60; null for anything else."""
     return F.regexp_extract(text, "^[Hh]?([0-9]+)$", 1).try_cast("int")
@@ -221,6 +227,30 @@ def diff_records(long: DataFrame, left: str, right: str, key: str = "experiment_
     return diff_maps(pick(left), pick(right))
 
 
+def commit_changes(records: DataFrame, left: str, right: str, key: str = "experiment_id", provenance: str = "provenance") -> DataFrame:
+    """Producers whose commits differ between two records, by name: a and b as shown, the first 12 letters of long ones.
+
+    A producer that a record lacks, or has as null, shows as (none).
+    """
+    commits = F.from_json(F.get_json_object(provenance, "$.producer_commits"), "map<string,string>")
+    shown = lambda c: choose((c.isNull(), "(none)"), ((F.length(c) > 16) & (c != "unresolved"), F.concat(F.left(c, F.lit(12)), F.lit("..."))), otherwise=c)
+    pick = lambda who, name: records.filter(F.col(key) == who).select(F.explode(commits).alias("producer", name))
+    both = pick(left, "a").join(pick(right, "b"), "producer", "full_outer").filter(~F.col("a").eqNullSafe(F.col("b")))
+    return both.select("producer", shown(F.col("a")).alias("a"), shown(F.col("b")).alias("b")).orderBy("producer")
+
+
+# Fields that a finished run gives its record; what else a record has comes later or by default.
+BUILT_FIELDS = (
+    "experiment_id", "name", "manifest_path", "fingerprint", "feature_set_ref", "compatibility_fingerprint", "signal_export_output_dir", "provenance", "contract_version",
+    "training_config", "training_metrics", "gate_reports", "cache_info", "tags", "hypothesis", "description", "created_at", "duration_seconds", "status", "stages_completed",
+)
+
+
+def built(rows: DataFrame) -> DataFrame:
+    """The fields of a record that a run fills in itself; a column that is not there is an error, others are left out."""
+    return rows.select(*BUILT_FIELDS)
+
+
 # --- identity of rows across tables -----------------------------------------
 
 

@@ -189,3 +189,13 @@ def cache_size(entries: DataFrame) -> DataFrame:
 def largest(entries: DataFrame, n: int, by: str = "size_bytes") -> DataFrame:
     """The ``n`` largest entries; of equal ones the lesser key."""
     return entries.orderBy(F.desc(by), "cache_key").limit(n)
+
+
+def approximate(rows: DataFrame, by: Sequence[str], distinct: Sequence[str] = (), quantiles: dict[str, Sequence[float]] | None = None, error: float = 0.05, accuracy: int = 10_000) -> DataFrame:
+    """Extension: distinct counts within a relative deviation and percentiles within 1 / ``accuracy`` of the rank, without sorting.
+
+    Columns n, n_<column> and <column>_q (an array).
+    """
+    counts = [F.approx_count_distinct(c, error).alias(f"n_{c}") for c in distinct]
+    ranks = [F.percentile_approx(c, list(q), accuracy).alias(f"{c}_q") for c, q in (quantiles or {}).items()]
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *counts, *ranks)

@@ -65,3 +65,22 @@ def stage_order(stages: DataFrame, name: str = "stage") -> DataFrame:
     """Adds the place of a stage in a run; null for a name that is no stage."""
     place = choose(*[(F.col(name) == s, i) for i, s in enumerate(STAGES)])
     return stages.withColumn("stage_pos", place)
+
+
+def postconditions(results: DataFrame, violations: DataFrame, key: tuple[str, ...] = ("run_id", "stage")) -> DataFrame:
+    """Completed stages whose outputs break a postcondition have failed.
+
+    ``results``: key, status, error_message.  ``violations``: key, violation;
+    a check that could not run is a violation too.  Stages that were skipped or
+    failed before stay as they are; the violations of the others, sorted, come
+    after their message and in ``output_validation_errors``.
+    """
+    found = violations.filter("violation IS NOT NULL").groupBy(*key).agg(F.array_sort(F.collect_list("violation")).alias("_found"))
+    out = results.join(found, list(key), "left")
+    broken = (F.col("status") == "completed") & F.col("_found").isNotNull()
+    told = F.concat(F.lit("outputs are not as promised ("), F.size("_found").cast("string"), F.lit("): "), F.array_join("_found", "; "))
+    return out.withColumns({
+        "error_message": F.when(broken, F.concat_ws("\n", F.nullif("error_message", F.lit("")), told)).otherwise(F.col("error_message")),
+        "output_validation_errors": F.when(broken, F.col("_found")),
+        "status": F.when(broken, "failed").otherwise(F.col("status")),
+    }).drop("_found")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.scalars import fold_name, minor_differs, types_match
@@ -53,17 +53,40 @@ def uniform_exports(exports: DataFrame, directory: str = "dir", version: str = "
     return together(finding(per.filter("versions > 1"), "error", "uniform", "mixed schema versions", F.col(directory)), finding(per.filter("have <> want"), "warn", "uniform", "manifest and folder differ", F.col(directory)))
 
 
+# Model, least and most features, least sequence length, sources.
+MODELS = [
+    ("deeplob", 40, 98, 20, ["any"]),
+    ("gru", 1, None, 1, ["any"]),
+    ("hmhp", 1, None, 1, ["any"]),
+    ("hmhp_regressor", 1, None, 1, ["any"]),
+    ("logistic_lob", 1, None, 1, ["any"]),
+    ("lstm", 1, None, 1, ["any"]),
+    ("mlplob", 1, None, 4, ["any"]),
+    ("temporal_gradboost", 1, None, 1, ["any"]),
+    ("temporal_ridge", 1, None, 1, ["any"]),
+    ("tlob", 1, None, 4, ["any"]),
+    ("xgboost_lob", 1, None, 1, ["any"]),
+]
+
+
+def model_table(spark: SparkSession) -> DataFrame:
+    """What the known models take, as :func:`input_contracts` wants it."""
+    return spark.createDataFrame(MODELS, "model string, min_features int, max_features int, min_sequence_length int, sources array<string>")
+
+
 def input_contracts(runs: DataFrame, models: DataFrame) -> DataFrame:
     """Runs outside what their model takes.
 
     ``runs``: run_id, model, n_features, sequence_length, source.  ``models``:
     model, min_features, max_features (null: no bound), min_sequence_length,
-    sources (array; 'any' takes all).  An unknown model warns.
+    sources (array; 'any' takes all).  An unknown model warns, unless its run has no
+    features or no sequence, which is an error whatever the model.
     """
     j = runs.join(models.withColumn("_known", F.lit(True)), "model", "left")
     bad = lambda cond, rule, text: finding(j.filter(F.col("_known") & F.coalesce(cond, F.lit(False))), "error", rule, F.concat_ws(" ", F.col("model"), F.lit(text)), F.col("run_id"))
     return together(
-        finding(j.filter("_known IS NULL"), "warn", "model", F.concat(F.lit("unknown model "), "model"), F.col("run_id")),
+        finding(j.filter("_known IS NULL AND (n_features <= 0 OR sequence_length <= 0)"), "error", "positive", F.concat_ws(" ", F.col("model"), F.lit("needs features and a sequence")), F.col("run_id")),
+        finding(j.filter("_known IS NULL AND NOT coalesce(n_features <= 0 OR sequence_length <= 0, false)"), "warn", "model", F.concat(F.lit("unknown model "), "model"), F.col("run_id")),
         bad(F.col("n_features") < F.coalesce("min_features", F.lit(1)), "min_features", "needs more features"),
         bad(F.col("n_features") > F.col("max_features"), "max_features", "takes fewer features"),
         bad(F.col("sequence_length") < F.coalesce("min_sequence_length", F.lit(1)), "sequence", "needs a longer sequence"),

@@ -50,16 +50,23 @@ def analyze_horizons(rows: DataFrame, thresholds: DataFrame, invariant: DataFram
     return one.withColumn("verdict", verdict).withColumn("exit_code", gates.exit_code(F.col("verdict")))
 
 
-def analyze_points(values: DataFrame, thresholds: DataFrame, correlations: DataFrame, cell: Sequence[str], ic_floor: float = 0.05, margin: float = 0.01, replicates: int = stats.REPLICATES) -> DataFrame:
+def analyze_points(values: DataFrame, thresholds: DataFrame, correlations: DataFrame, cell: Sequence[str], ic_floor: float = 0.05, margin: float = 0.01, replicates: int = stats.REPLICATES, invariant: DataFrame | None = None) -> DataFrame:
     """Point-return analysis of each cell: interval of the pooled mean, mean over thresholds, interval of per-seed
-    correlations (plain bootstrap), and the verdict; an interval within ``margin`` of 0 is borderline."""
+    correlations (plain bootstrap), and the verdict; an interval within ``margin`` of 0 is borderline.
+
+    ``invariant`` (cell, ok): a cell that it does not hold or does not name is aborted.
+    """
     ci = stats.enough_data(stats.bootstrap_mean(values, cell, replicates)).select(*cell, "mean", "lo", "hi")
     means = reduce.equal_weight(thresholds, cell).select(*cell, F.col("mean").alias("mean_thresholds"))
     ics = stats.bootstrap_mean(correlations, cell, replicates, length=1).select(*cell, F.col("lo").alias("ic_lo"))
     rows = ci.join(means, list(cell), "left").join(ics, list(cell), "left")
+    if invariant is None:
+        rows = rows.withColumn("ok", F.lit(True))
+    else:
+        rows = rows.join(invariant.groupBy(*cell).agg(F.bool_and("ok").alias("ok")), list(cell), "left")
     close = (F.abs("lo") <= margin) & (F.abs("hi") <= margin)
-    verdict = gates.verdict_points(gt(F.col("lo"), F.lit(0.0)), gt(F.col("mean_thresholds"), F.lit(0.0)), gt(F.col("ic_lo"), F.lit(ic_floor)), F.lit(True), close)
-    return rows.withColumn("verdict", verdict).withColumn("exit_code", gates.exit_code(F.col("verdict")))
+    verdict = gates.verdict_points(gt(F.col("lo"), F.lit(0.0)), gt(F.col("mean_thresholds"), F.lit(0.0)), gt(F.col("ic_lo"), F.lit(ic_floor)), F.col("ok"), close)
+    return rows.withColumn("verdict", verdict).drop("ok").withColumn("exit_code", gates.exit_code(F.col("verdict")))
 
 
 def analyze_precision(predictions: DataFrame, by: Sequence[str], positive: int, floor: float, spread: float, least_seeds: int = 3, replicates: int = stats.REPLICATES, seed: str = "seed") -> DataFrame:

@@ -529,7 +529,8 @@ def cache_state(spark, sf_dir):
 
 @query(f"""WITH {R.LEDGER} SELECT 'warn' AS severity, 'contract' AS rule, 'no contract version' AS message, experiment_id AS context FROM ledger WHERE ordinal % 50 = 0 UNION ALL SELECT 'error', 'contract', 'contract version 2.1.0', experiment_id FROM ledger WHERE ordinal % 50 = 1
  UNION ALL SELECT 'error', 'min_features', 'BUILDING needs more features', experiment_id FROM ledger WHERE model_type = 'BUILDING' AND ordinal % 60 < 10 UNION ALL SELECT 'error', 'min_features', 'MACHINERY needs more features', experiment_id FROM ledger WHERE model_type = 'MACHINERY' AND ordinal % 60 = 0 UNION ALL SELECT 'error', 'max_features', 'BUILDING takes fewer features', experiment_id FROM ledger WHERE model_type = 'BUILDING' AND ordinal % 60 > 50
- UNION ALL SELECT 'warn', 'model', 'unknown model ' || model_type, experiment_id FROM ledger WHERE model_type NOT IN ('BUILDING', 'MACHINERY')""")
+ UNION ALL SELECT 'warn', 'model', 'unknown model ' || model_type, experiment_id FROM ledger WHERE model_type NOT IN ('BUILDING', 'MACHINERY') AND ordinal % 60 > 0
+ UNION ALL SELECT 'error', 'positive', model_type || ' needs features and a sequence', experiment_id FROM ledger WHERE model_type NOT IN ('BUILDING', 'MACHINERY') AND ordinal % 60 = 0""")
 def validation_findings(spark, sf_dir):
     rows = R.ledger(spark, sf_dir)
     n = F.col("ordinal")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillon.functions import scalars as S
 from quillon.functions.semantics import choose, finite, first_finite
 from quillon.operators import gates, grid, identity, monitor, records, reduce, scheduling, stats, validation
+from quillon.plans import architecture
 from quillon.plans import roles as R
 from quillon.plans.catalog import REPS, _means_sql, query, rounded
 from quillon.plans.roles import table
@@ -137,13 +138,62 @@ def override_status(spark, sf_dir):
     return out.join(p, "path").select("p_partkey", "status")
 
 
-@query(f"""WITH {R.LEDGER}, g AS (SELECT name, avg(metric_a) > 0.5 AS a, avg(metric_b) > 0.49 AS b, count(*) > 250 AS c FROM ledger GROUP BY name) SELECT name, (CASE WHEN a THEN 1 ELSE 0 END) + (CASE WHEN b THEN 1 ELSE 0 END) + (CASE WHEN c THEN 1 ELSE 0 END) AS n_pass, CAST(3 AS BIGINT) AS n_checks,
- CASE WHEN a AND b AND c THEN 'GO' WHEN a AND b THEN 'SMALL' WHEN b THEN 'PARTIAL' ELSE 'REFUTE' END AS verdict FROM g""")
+_ARMS = R.LEDGER + """, arms AS (SELECT name, seed, CAST(substr(name, 5) AS INT) AS k, avg(metric_b) AS v, count(*) AS n FROM ledger GROUP BY name, seed),
+ seeds AS (SELECT name, k, seed, v, CAST(row_number() OVER (PARTITION BY name ORDER BY seed) - 1 AS BIGINT) AS idx, 0.25 + (k % 5) / CAST(25 AS DOUBLE) + v / (1 + 9 * (k % 4)) / 10 AS value, v * (k % 6) / 5 AS h60, v * (k % 7) / 6 AS h300,
+ CASE WHEN k % 9 > 0 OR seed > 1 THEN CASE WHEN k % 8 > 0 THEN 0 ELSE seed END END AS compat, CASE WHEN k % 10 > 0 OR seed > 0 THEN 0.3 + (k % 10) / CAST(10 AS DOUBLE) END AS agree FROM arms)"""
+
+
+@query(f"""WITH {_ARMS}, {_means_sql("name", "seeds", "name", REPS, "1")}, low AS (SELECT name, quantile_cont(m, 0.025) AS lo FROM m GROUP BY name),
+ s AS (SELECT name, any_value(k) AS k, count(*) AS n, CASE WHEN count(value) = count(*) THEN avg(value) END AS h, CASE WHEN count(h60) = count(*) THEN avg(h60) END AS h60, CASE WHEN count(h300) = count(*) THEN avg(h300) END AS h300, coalesce(stddev_samp(value), 0) AS sd,
+ count(compat) = count(*) AS cp, count(compat) = count(*) AND count(DISTINCT compat) = 1 AS ci, count(agree) = count(*) AS e, count_if(agree >= 0.4 AND agree <= 0.9) = count(*) AS band FROM seeds GROUP BY name),
+ g AS (SELECT s.name, h > 0.3 AS a1, CASE WHEN n < 3 THEN h ELSE lo END > 0.1 AS b1, h > 0.3247 AS c1, h > 0.3747 AS d1, coalesce(h60 > 0.1, FALSE) AS a2, coalesce(h300 > 0.05, FALSE) AS b2, sd < 0.04 AS c2, cp, ci, n >= 4 AS f3, e, band FROM s JOIN low ON low.name = s.name)
+ SELECT name, CAST(a1 AS INT) + CAST(b1 AS INT) + CAST(c1 AS INT) + CAST(d1 AS INT) + CAST(a2 AS INT) + CAST(b2 AS INT) + CAST(c2 AS INT) + CAST(cp AS INT) + CAST(ci AS INT) + 3 + CAST(f3 AS INT) + CAST(e AS INT) + CASE WHEN e THEN CAST(band AS INT) + 1 ELSE 0 END AS n_pass,
+ CASE WHEN e THEN 16 ELSE 14 END AS n_checks, CASE WHEN NOT ci OR NOT e THEN 'ABORT' WHEN NOT a1 OR NOT b1 THEN 'REFUTE' WHEN NOT c2 THEN 'INDETERMINATE-DOWNGRADED-NEED-N10' WHEN a2 AND b2 AND band AND d1 THEN 'GO-CLEAR-LIFT'
+ WHEN a2 AND b2 AND band AND c1 THEN 'GO-COMPETITIVE' WHEN a2 AND b2 AND NOT c1 THEN 'PARTIAL-LIFT' ELSE 'INDETERMINATE' END AS verdict FROM g""")
 def architecture_gates(spark, sf_dir):
-    """Named gates counted into a verdict."""
-    g = R.ledger(spark, sf_dir).groupBy("name").agg(F.avg("metric_a").alias("x"), F.avg("metric_b").alias("y"), F.count("*").alias("n"))
-    checks = gates.gate_table(g, ["name"], {"a": F.col("x") > 0.5, "b": F.col("y") > 0.49, "c": F.col("n") > 250})
-    return gates.count_verdict(checks, ["name"], [("GO", ["a", "b", "c"]), ("SMALL", ["a", "b"]), ("PARTIAL", ["b"])], "REFUTE")
+    """Sixteen gates over the seeds of each arm, and the outcome; correlations and identities are made up from the arm's number."""
+    v = R.ledger(spark, sf_dir).groupBy("name", "seed").agg(F.avg("metric_b").alias("v")).withColumn("k", F.substring("name", 5, 9).cast("int"))
+    k, one = F.col("k"), F.lit("same")
+    compat = F.when((k % 9 > 0) | (F.col("seed") > 1), F.when(k % 8 > 0, F.lit("0")).otherwise(F.col("seed").cast("string")))
+    seeds = v.select(
+        "name", "seed", (0.25 + (k % 5) / 25 + F.col("v") / (1 + 9 * (k % 4)) / 10).alias("h10"), (F.col("v") * (k % 6) / 5).alias("h60"), (F.col("v") * (k % 7) / 6).alias("h300"),
+        compat.alias("compat"), one.alias("provenance_hash"), one.alias("model_hash"), F.col("seed").cast("string").alias("prediction_sha"),
+        F.when((k % 10 > 0) | (F.col("seed") > 0), 0.3 + (k % 10) / 10).alias("agreement_mean"), F.lit(0.2).alias("agreement_std"),
+    )
+    return architecture.analyze_architecture(seeds, ["name"], REPS)
+
+
+@query("""WITH s AS (SELECT page_id, length(html) AS size, CASE WHEN page_id % 3 = 0 THEN 'skipped' WHEN page_id % 5 = 0 THEN 'failed' ELSE 'completed' END AS was FROM pages)
+ SELECT page_id, CASE WHEN was = 'completed' AND (size < 900 OR page_id % 7 = 0) THEN 'failed' ELSE was END AS status,
+ CASE WHEN was = 'failed' THEN 'broke' WHEN was = 'completed' AND size < 900 AND page_id % 7 = 0 THEN 'outputs are not as promised (2): few bytes; no manifest' WHEN was = 'completed' AND size < 900 THEN 'outputs are not as promised (1): few bytes'
+ WHEN was = 'completed' AND page_id % 7 = 0 THEN 'outputs are not as promised (1): no manifest' END AS error_message FROM s""")
+def stage_postconditions(spark, sf_dir):
+    """Stages that reported success but whose outputs break a promise."""
+    p, n = table(spark, sf_dir, "pages"), F.col("page_id")
+    was = F.when(n % 3 == 0, "skipped").when(n % 5 == 0, "failed").otherwise("completed")
+    results = p.select("page_id", was.alias("status"), F.when(was == "failed", "broke").alias("error_message"))
+    broken = p.filter("length(html) < 900").select("page_id", F.lit("few bytes").alias("violation"))
+    broken = broken.unionByName(p.filter(n % 7 == 0).select("page_id", F.lit("no manifest").alias("violation")))
+    return scheduling.postconditions(results, broken, ("page_id",)).select("page_id", "status", "error_message")
+
+
+@query(f"""WITH {R.LEDGER} SELECT experiment_id, round(CASE WHEN ordinal % 4 = 0 THEN metric_a WHEN ordinal % 4 = 1 AND metric_b IS NOT NULL THEN metric_b WHEN ordinal % 4 < 3 THEN duration_seconds END, 8) AS ic FROM ledger""")
+def metric_fallbacks(spark, sf_dir):
+    """A metric from the first of three places that has it."""
+    n = F.col("ordinal") % 4
+    at = lambda c, v: F.when(c, F.create_map(F.lit("test_ic"), v)).otherwise(F.create_map().cast("map<string,double>"))
+    ic = records.metric_from("test_ic", at(n == 0, F.col("metric_a")), at(n == 1, F.col("metric_b")), at(n < 3, F.col("duration_seconds")))
+    return rounded(R.ledger(spark, sf_dir).select("experiment_id", ic.alias("ic")), "ic")
+
+
+@query("""WITH r AS (SELECT min(event_id) AS a, max(event_id) AS b FROM events) SELECT 'reader' AS producer, sha256('' || a)[1:12] || '...' AS a, sha256('' || b)[1:12] || '...' AS b FROM r UNION ALL SELECT 'writer', 'unresolved', '(none)'""")
+def commit_changes(spark, sf_dir):
+    """Producers whose commits differ between the first and the last record."""
+    ends = table(spark, sf_dir, "events").agg(F.min("event_id").alias("a"), F.max("event_id").alias("b")).select(F.inline(F.array(F.struct(F.lit("first").alias("experiment_id"), F.col("a").alias("id")), F.struct(F.lit("last").alias("experiment_id"), F.col("b").alias("id")))))
+    writer = F.when(F.col("experiment_id") == "first", F.lit("unresolved"))
+    commits = F.struct(F.sha2(F.col("id").cast("string"), 256).alias("reader"), writer.alias("writer"), F.lit("v1").alias("store"))
+    rows = ends.select("experiment_id", F.to_json(F.struct(commits.alias("producer_commits"))).alias("provenance"))
+    return records.commit_changes(rows, "first", "last")
 
 
 @query(f"""WITH {R.LEDGER} SELECT experiment_id, CASE WHEN ordinal % 10 = 0 THEN 'unknown run' WHEN ordinal % 10 = 1 THEN 'other sweep' ELSE 'older than run' END AS reason FROM ledger WHERE ordinal % 10 < 3""")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.scalars import is_sha256
@@ -52,6 +52,30 @@ def artifact_paths(artifacts: DataFrame, kind: str = "kind", created: str = "cre
     return rows.withColumn("path", F.concat_ws("/", F.col(kind), month, F.concat(F.col(digest), F.lit(".json"))))
 
 
+# Files that are kept as artifacts, and their kinds.
+ARTIFACT_FILES = {"feature_importance_v1.json": "feature_importance", "test_metrics_ci_v1.json": "test_metrics_ci", "pairwise_compare_v1.json": "pairwise_compare"}
+
+
+def is_object(text: Column) -> Column:
+    """Whether a text is a JSON object."""
+    return F.coalesce(F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{"), F.lit(False))
+
+
+def route_artifacts(files: DataFrame, validators: Mapping[str, Callable[[Column], Column]] | None = None, names: Mapping[str, str] | None = None) -> DataFrame:
+    """kind, sha256 and valid of each output file (path, text) whose name is an artifact's.
+
+    ``validators`` holds a condition on the text for each kind; a kind without
+    one must be a JSON object.  A condition that is null is not met.
+    """
+    names = ARTIFACT_FILES if names is None else names
+    kinds = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    kind = F.try_element_at(kinds, F.element_at(F.split("path", "/"), -1))
+    valid = is_object(F.col("text"))
+    for k, condition in (validators or {}).items():
+        valid = F.when(F.col("kind") == k, F.coalesce(condition(F.col("text")), F.lit(False))).otherwise(valid)
+    return files.withColumn("kind", kind).filter("kind IS NOT NULL").select("path", "kind", F.sha2("text", 256).alias("sha256"), valid.alias("valid"))
+
+
 def write_artifacts(store: str, artifacts: DataFrame) -> None:
     """Add the contents that the store does not have, partitioned by kind and month of first creation; writing again adds nothing.
 
