@@ -113,17 +113,30 @@ def directory_hash(files: DataFrame, directory: str = "dir", name: str = "name",
     return files.groupBy(directory).agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(entry))), 256).alias("dir_hash"), F.count("*").alias("n_files"), F.sum(size).alias("total_bytes"))
 
 
-def verify_tree(manifest: DataFrame, found: DataFrame, key: str = "cache_key") -> DataFrame:
-    """For each cache entry whether every file of its manifest is there with the same size, then the same hash."""
-    both = manifest.select(key, "path", F.col("size_bytes").alias("want_size"), F.col("sha256").alias("want_hash")).join(found.select(key, "path", F.col("size_bytes").alias("size"), "sha256"), [key, "path"], "left")
+def verify_tree(manifest: DataFrame, found: DataFrame, key: str | Sequence[str] = "cache_key") -> DataFrame:
+    """For each cache entry whether every file of its manifest is there with the same size, then the same hash.
+
+    ``key``: the column or columns that name an entry.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    both = manifest.select(*key, "path", F.col("size_bytes").alias("want_size"), F.col("sha256").alias("want_hash")).join(found.select(*key, "path", F.col("size_bytes").alias("size"), "sha256"), [*key, "path"], "left")
     ok = F.coalesce((F.col("size") == F.col("want_size")) & (F.col("sha256") == F.col("want_hash")), F.lit(False))
-    return both.groupBy(key).agg(F.bool_and(ok).alias("intact"), F.count_if(~ok).alias("n_bad"))
+    return both.groupBy(*key).agg(F.bool_and(ok).alias("intact"), F.count_if(~ok).alias("n_bad"))
 
 
-def cache_state(requests: DataFrame, entries: DataFrame, key: str = "cache_key") -> DataFrame:
-    """bypass (no key, or asked for), miss, malformed (no manifest), poisoned (files differ) or hit."""
-    joined = requests.join(entries.select(key, F.lit(True).alias("_there"), "has_manifest", "intact"), key, "left")
-    state = choose((F.col("bypass") | F.col(key).isNull(), "bypass"), (F.col("_there").isNull(), "miss"), (~F.coalesce("has_manifest", F.lit(False)), "malformed"), (~F.coalesce("intact", F.lit(False)), "poisoned"), otherwise="hit")
+def cache_state(requests: DataFrame, entries: DataFrame, key: str | Sequence[str] = "cache_key") -> DataFrame:
+    """bypass (no key, or asked for), miss, malformed (no manifest), poisoned (files differ) or hit: one row for each request.
+
+    ``key``: the column or columns that name an entry.  Entries of one key are
+    one entry, as good as the worst of them.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    good = lambda c: F.bool_and(F.coalesce(c, F.lit(False))).alias(c)
+    joined = requests.join(entries.groupBy(*key).agg(F.lit(True).alias("_there"), good("has_manifest"), good("intact")), key, "left")
+    nameless = F.lit(False)
+    for c in key:
+        nameless = nameless | F.col(c).isNull()
+    state = choose((F.col("bypass") | nameless, "bypass"), (F.col("_there").isNull(), "miss"), (~F.col("has_manifest"), "malformed"), (~F.col("intact"), "poisoned"), otherwise="hit")
     return joined.withColumn("state", state).drop("_there", "has_manifest", "intact")
 
 
