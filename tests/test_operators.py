@@ -279,3 +279,27 @@ def test_analyzers(spark):
     assert analyzers.analyze_precision(pred, ["model"], 1, 0.9, 0.1, replicates=20).first()["verdict"] == "GO"
     with pytest.raises(Exception, match="missing"):
         analyzers.complete(spark.range(3), spark.range(2), ["id"]).collect()
+
+
+def broadcast_draws(df):
+    """Runs a query; the explosions of sequences below a broadcast in the plan that ran."""
+    df.collect()
+    depth, found = None, []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n"):
+        at = len(line) - len(line.lstrip(" +-:"))
+        depth = None if depth is not None and at <= depth else depth
+        if "BroadcastExchange" in line and depth is None:
+            depth = at
+        if depth is not None and "Generate explode(sequence" in line:
+            found.append(line)
+    return found
+
+
+def test_draws_are_never_broadcast(spark):
+    """A few rows of a plan become many draws, which must not go through the driver."""
+    values = spark.range(0, 20_000, 1, 4).select(F.lit("a").alias("cell"), F.col("id").alias("idx"), (F.col("id") % 11 - 4.5).alias("value"))
+    signals = values.select("idx", (F.col("value") * 2 + F.col("idx") % 3).alias("label"), F.explode(F.array(F.lit("x"), F.lit("y"))).alias("treatment"))
+    signals = signals.select("treatment", F.col("idx").alias("sample_idx"), "label", (F.col("label") + (F.col("idx") % 5) * (F.col("treatment") == "x").cast("int")).alias("pred"))
+    assert not broadcast_draws(stats.bootstrap_mean(values, ["cell"], 50))
+    assert not broadcast_draws(stats.bootstrap_ratio(values, ["cell"], F.lit(2.0), 5))
+    assert not broadcast_draws(stats.compare_pairs(signals, replicates=5))
