@@ -29,13 +29,13 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Minima are written, so that both sides of a join come straight from a shuffle and a node with many edges is split.
-        least = frames.written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        large = frames.written(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "large")
-        lower = frames.written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = frames.written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least", 2 * state[0])
+        large = frames.written(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "large", state[0])
+        lower = frames.written(large.groupBy("a").agg(F.min("b").alias("m")), "least", state[0])
         pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
         met = large.join(lower, "a").select("a", F.greatest("b", "m").alias("x"), "m")
         small = met.select(F.explode(F.array(pair("x", "m"), pair("a", "m"))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        old, now = [now, least, large, lower], frames.written(small, "edges")
+        old, now = [now, least, large, lower], frames.written(small, "edges", state[0])
         for table in old:
             frames.forget(spark, table)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -461,3 +461,22 @@ def test_violations():
     assert chat_format.violations({"a": [1, 3], "b": 1, "c": "x"}, s) == ["$.a[1]: not in enum", "$.b: not boolean", "$.c: length"]
     assert chat_format.violations(True, {"type": "integer"}) == ["$: not integer"]
     assert chat_format.canonical({"b": float("nan"), "a": 1.0, "é": [float("inf")]}) == '{"a":1,"b":null,"é":[null]}'
+
+
+def test_similar_forest_uses_fingerprints():
+    """Pairs of similar sets keep to the limit, also small ones; sets whose fingerprints are far apart are not counted."""
+    rng = np.random.default_rng(7)
+    limit = simhash.similarity_limit(0.8, 4)
+    sets, pairs = [], [(4, 1, 0), (5, 1, 0), (8, 1, 1), (9, 1, 1), (16, 2, 2), (40, 10, 0), (200, 25, 25)]
+    for shared, a, b in pairs * 60:  # shared members, and those of one side only
+        h = rng.integers(0, 2**64, shared + a + b, dtype=np.uint64)
+        sets += [h[: shared + a], np.concatenate((h[:shared], h[shared + a :]))]
+    sizes, flat = np.array([len(x) for x in sets]), np.concatenate([np.sort(x) for x in sets])
+    lanes = [simhash.majority_bits(flat if k == 0 else simhash.mix64(flat + np.uint64(k)), sizes) for k in range(4)]
+    fp = np.stack(lanes, axis=1)
+    apart = np.bitwise_count(fp[::2] ^ fp[1::2]).sum(axis=1)
+    assert apart.max() <= limit < 128 - 4 * 8
+    up = simhash.similar_forest(flat.view(np.int64), sizes, 0.8, fp=fp)
+    assert (up[::2] == up[1::2]).all() and len(set(up.tolist())) == len(sets) // 2
+    far = np.stack([np.zeros(4, np.uint64), np.full(4, 2**64 - 1, np.uint64)])
+    assert list(simhash.similar_forest(np.array([1, 2, 3, 1, 2, 3]), np.array([3, 3]), 0.8, fp=far)) == [0, 1]
