@@ -2,6 +2,7 @@ import hashlib
 import json
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,3 +304,38 @@ def test_draws_are_never_broadcast(spark):
     assert not broadcast_draws(stats.bootstrap_mean(values, ["cell"], 50))
     assert not broadcast_draws(stats.bootstrap_ratio(values, ["cell"], F.lit(2.0), 5))
     assert not broadcast_draws(stats.compare_pairs(signals, replicates=5))
+
+
+def test_packed_draws(spark):
+    """Hashes in bulk equal hashlib's over widths of numbers and texts of one and two MD5 blocks; packed places come back."""
+    from quillon.operators import draws
+
+    for prefix in (b"42|A/F|0|", b"x" * 53, b"y" * 70):
+        want = [int(hashlib.md5(prefix + str(k).encode()).hexdigest()[:8], 16) for k in range(95, 10_300)]
+        assert draws.heads(prefix, 95, 10_299).tolist() == want
+        assert draws.heads(prefix, 95, 104).tolist() == want[:10]
+    for places in ([0, 0, 3, 255], [5, 70_000, 70_000], [9]):
+        assert draws.decode(draws.encode(np.array(places, np.uint32))).tolist() == places
+
+
+def most_rows(df):
+    """Runs a query; the most rows that one operator of the plan that ran has made."""
+    df.collect()
+
+    def walk(node):
+        inner = getattr(node, "finalPhysicalPlan" if node.nodeName().startswith("AdaptiveSparkPlan") else "plan", None) if "Adaptive" in node.nodeName() or "QueryStage" in node.nodeName() else None
+        if inner:
+            yield from walk(inner())
+        made = node.metrics().get("numOutputRows")
+        if made.isDefined():
+            yield made.get().value()
+        for k in range(node.children().size()):
+            yield from walk(node.children().apply(k))
+
+    return max(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_draws_are_not_rows(spark):
+    """A plain bootstrap draws every value in every replicate; no operator makes a row a draw."""
+    values = spark.range(0, 20_000, 1, 4).select(F.lit("a").alias("cell"), F.col("id").alias("idx"), (F.col("id") % 11 - 4.5).alias("value"))
+    assert 20_000 <= most_rows(stats.bootstrap_ratio(values, ["cell"], F.lit(2.0), 40)) < 40 * 20_000 / 10
