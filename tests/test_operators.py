@@ -339,3 +339,22 @@ def test_draws_are_not_rows(spark):
     """A plain bootstrap draws every value in every replicate; no operator makes a row a draw."""
     values = spark.range(0, 20_000, 1, 4).select(F.lit("a").alias("cell"), F.col("id").alias("idx"), (F.col("id") % 11 - 4.5).alias("value"))
     assert 20_000 <= most_rows(stats.bootstrap_ratio(values, ["cell"], F.lit(2.0), 40)) < 40 * 20_000 / 10
+    trades = values.select("cell", F.lit(1).alias("seed"), F.col("value").alias("pnl"), F.col("idx").alias("trade_idx"))
+    cells = analyzers.analyze_cells(values, trades, ["cell"], F.lit(False), replicates=400)
+    assert 20_000 <= most_rows(cells) < 400 * (20_000 // 28) / 4
+
+
+def test_copies_drawn_are_weights(spark):
+    """Ranks by weights equal ranks over the rows that are drawn, with ties and values that are not finite; copies are not joined one by one."""
+    n, nan = 4000, float("nan")
+    values = spark.range(0, n, 1, 3).select(F.col("id").alias("sample_idx"), (F.col("id") * 7919 % 101).cast("double").alias("label"), F.explode(F.array(F.lit("x"), F.lit("y"), F.lit("z"))).alias("treatment"))
+    noise = F.when(F.col("treatment") == "z", 0.5).when(F.col("sample_idx") == 77, nan).otherwise((F.col("sample_idx") * 31 % 17) * F.length("treatment") + F.col("label") * (F.col("treatment") == "x").cast("int"))
+    signals = values.withColumn("pred", noise).select("treatment", "sample_idx", "label", "pred")
+    drawn = stats._places(signals.select(F.lit("all").alias("cell"), F.col("sample_idx").alias("idx")).distinct(), ["cell"], 6, 42, None).select("rep", F.col("idx").alias("sample_idx"))
+    varied = signals.filter("treatment <> 'z'")  # of equal values alone Spark's corr makes an error, the resamples null
+    want = stats.spearman(drawn.join(varied, "sample_idx"), ["rep", "treatment"], "pred", "label").collect()
+    weights = drawn.groupBy("rep", "sample_idx").agg(F.count("*").alias("w"))
+    got = {(r["rep"], r["treatment"]): r["ic"] for r in stats.drawn_spearman(signals, weights, "treatment", "sample_idx", "pred", "label").collect()}
+    assert len(got) == 18 and len(want) == 12 and {got[rep, "z"] for rep in range(6)} == {None}
+    assert all(abs(got[r["rep"], r["treatment"]] - r["ic"]) < 1e-12 for r in want)
+    assert most_rows(stats.compare_pairs(varied, replicates=20)) < 20 * n * 2 * 0.7
