@@ -67,10 +67,19 @@ def pooled(trades: DataFrame, cell: Sequence[str], value: str = "pnl") -> DataFr
 def trimmed_means(trades: DataFrame, cell: Sequence[str], k: int, value: str = "pnl", seed: str = "seed", order: str = "trade_idx") -> DataFrame:
     """Per seed the mean without the k values largest by absolute size (of equals the later goes first); then the mean over seeds.
 
-    A seed without more than k trades counts 0.
+    A seed without more than k trades counts 0.  Only the first k that a task
+    has of a seed are moved; then every trade is compared with its seed's k-th.
     """
-    place = F.row_number().over(Window.partitionBy(*cell, seed).orderBy(F.abs(value).desc(), F.col(order).desc()))
-    each = trades.withColumn("_n", place).groupBy(*cell, seed).agg(F.coalesce(F.avg(F.when(F.col("_n") > k, F.col(value))), F.lit(0.0)).alias("trimmed"))
+    rows = trades.select(*cell, seed, F.struct(*cell, seed).alias("_group"), F.col(value).alias("_v"), F.abs(value).alias("_size"), F.col(order).alias("_at"))
+    key = F.struct("_size", "_at")
+    place = F.row_number().over(Window.partitionBy("_group").orderBy(F.col("_size").desc(), F.col("_at").desc()))
+    cut = rows.select("_group", "_size", "_at").withColumn("_n", place).filter(F.col("_n") <= k).groupBy("_group").agg(F.min(key).alias("_cut"))
+    below = F.coalesce(key < F.col("_cut"), F.lit(True))
+    kept, equal = F.when(below, F.col("_v")), F.when(key == F.col("_cut"), F.col("_v"))
+    sums = rows.join(F.broadcast(cut), "_group", "left").groupBy(*cell, seed).agg(F.sum(kept).alias("_sum"), F.count(kept).alias("_kept"), F.count_if(~below).alias("_top"), F.avg(equal).alias("_equal"))  # one row a seed
+    over = F.when((F.col("_top") > k) & F.col("_equal").isNotNull(), F.col("_top") - k).otherwise(0)  # of one size and place, where places repeat
+    total = F.coalesce("_sum", F.lit(0.0)) + F.when(over > 0, over * F.col("_equal")).otherwise(0.0)
+    each = sums.withColumn("trimmed", F.coalesce(total / F.nullif(F.col("_kept") + over, F.lit(0)), F.lit(0.0)))
     return each.groupBy(*cell).agg(F.avg("trimmed").alias("trimmed_mean"), F.count("*").alias("n_seeds"))
 
 

@@ -358,3 +358,56 @@ def test_copies_drawn_are_weights(spark):
     assert len(got) == 18 and len(want) == 12 and {got[rep, "z"] for rep in range(6)} == {None}
     assert all(abs(got[r["rep"], r["treatment"]] - r["ic"]) < 1e-12 for r in want)
     assert most_rows(stats.compare_pairs(varied, replicates=20)) < 20 * n * 2 * 0.7
+
+
+def exchanges(df):
+    """Runs a query; the rows that each exchange of the plan that ran has written."""
+    df.collect()
+
+    def walk(node):
+        inner = getattr(node, "finalPhysicalPlan" if node.nodeName().startswith("AdaptiveSparkPlan") else "plan", None) if "Adaptive" in node.nodeName() or "QueryStage" in node.nodeName() else None
+        if inner:
+            yield from walk(inner())
+        if node.nodeName() in ("Exchange", "BroadcastExchange"):
+            made = node.metrics().get("shuffleRecordsWritten")
+            yield made.get().value() if made.isDefined() else 0
+        for k in range(node.children().size()):
+            yield from walk(node.children().apply(k))
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_trimmed_means_move_few(spark):
+    """Only the first k of a task and seed are sorted and moved; the rest are equal to a mean by hand, with ties, nulls, signs and repeated places."""
+    nan = float("nan")
+    made = [("c", i % 3, i, (-1.0) ** i * (i * 7919 % 97)) for i in range(6000)] + [("d", None, i, v) for i, v in enumerate([2.0, -2.0, None, 2.0, 1.0])]
+    made += [("e", 0, i, v) for i, v in enumerate([nan, 1.0, 3.0])] + [("f", 0, 0, 5.0)] * 4 + [("g", 0, i, None) for i in range(4)]
+    trades = spark.createDataFrame(made, "cell string, seed int, trade_idx long, pnl double")
+    out = reduce.trimmed_means(trades, ["cell"], 2)
+    assert max(exchanges(out)) < 500
+    means = []
+    for seed in range(3):
+        left = sorted((r for r in made if r[:2] == ("c", seed)), key=lambda r: (-abs(r[3]), -r[2]))[2:]
+        means.append(sum(r[3] for r in left) / len(left))
+    got = {r["cell"]: (r["trimmed_mean"], r["n_seeds"]) for r in out.collect()}
+    assert abs(got["c"][0] - sum(means) / 3) < 1e-12 and got["c"][1] == 3
+    assert got == got | {"d": (1.5, 1), "e": (1.0, 1), "f": (5.0, 1), "g": (0.0, 1)}
+    assert {r["trimmed_mean"] for r in reduce.trimmed_means(trades.filter("cell = 'd'"), ["cell"], 0).collect()} == {0.75}
+
+
+def test_group_places(spark):
+    """Places in groups over several ranges, with repeated rows, a large and a small group; rows without a group are left out."""
+    df = spark.range(0, 5000, 1, 7).select(F.when(F.col("id") < 4990, "a").when(F.col("id") < 4998, "b").alias("g"), (F.col("id") * 7919 % 911).alias("v"), "id")
+    out = ranking.group_places(df, ["g"], ["v"], [(F.col("v") * 2).alias("w")])
+    assert out.columns == ["g", "w", "idx"]
+    for g, n in (("a", 4990), ("b", 8)):
+        got = [(r["idx"], r["w"]) for r in out.filter(F.col("g") == g).orderBy("idx").collect()]
+        assert [i for i, _ in got] == list(range(n)) and [w for _, w in got] == sorted(2 * (i * 7919 % 911) for i in (range(4990) if g == "a" else range(4990, 4998)))
+    assert out.count() == 4998 and ranking.group_places(df.limit(0), ["g"], ["v"], ["id"]).count() == 0
+
+
+def test_seeds_plan_is_small(spark, sf_dir):
+    """The trades are numbered and written once; a plan that held their numbering at each reading would fill the driver."""
+    from quillon.plans.catalog import QUERIES
+
+    assert len(exchanges(QUERIES["analyze_seeds"](spark, sf_dir))) <= 24
