@@ -411,3 +411,15 @@ def test_seeds_plan_is_small(spark, sf_dir):
     from quillon.plans.catalog import QUERIES
 
     assert len(exchanges(QUERIES["analyze_seeds"](spark, sf_dir))) <= 24
+
+
+def test_draws_take_few_bytes(spark):
+    """Draws some hundred places apart take little more than a byte each; differences about and far over 255 come back."""
+    from quillon.operators import draws
+
+    for gaps in ([0, 254, 255, 256, 509, 510, 511], [0, 65_535], [255], [510], [1, 65_000, 0, 255]):
+        places = np.cumsum(np.array(gaps), dtype=np.uint32)
+        assert draws.decode(draws.encode(places)).tolist() == places.tolist()
+    places = np.sort(np.random.default_rng(1).integers(0, 1 << 16, 360)).astype(np.uint32)
+    packed = draws.encode(places)
+    assert draws.decode(packed).tolist() == places.tolist() and len(packed) < 1.5 * len(places)
