@@ -89,7 +89,7 @@ class Workbench:
         rows = records.without_kinds(self.records.filter(F.col("sweep_id") == sweep_id), "sweep_aggregate")
         return records.compare(rows, metrics, sort_by, keys=("experiment_id", "axis_values"))
 
-    def sweep_compare(self, signals: DataFrame, statistic: str = "spearman", replicates: int = 1000) -> DataFrame:
+    def sweep_compare(self, signals: DataFrame, statistic: str = "spearman", replicates: int = stats.REPLICATES) -> DataFrame:
         """All pairs of a sweep's treatments, by q."""
         return stats.compare_pairs(stats.paired_mask(signals), statistic, replicates).orderBy("q")
 

@@ -360,6 +360,63 @@ def test_copies_drawn_are_weights(spark):
     assert most_rows(stats.compare_pairs(varied, replicates=20)) < 20 * n * 2 * 0.7
 
 
+def test_resampled_ranks(monkeypatch):
+    """Correlations of many replicates at once equal ranks over the rows drawn, with ties across parts and pieces, left-out rows, other labels and one value only."""
+    import pandas as pd
+    import pyarrow as pa
+
+    from quillon.operators import draws, resampled
+
+    rng, n, replicates = np.random.default_rng(3), 700, 10
+    label = rng.integers(0, 90, n).astype(float)
+    own = rng.normal(size=n)
+    groups = [(label, rng.integers(0, 5, n) + label / 50, np.arange(n)), (label, rng.normal(size=n), np.arange(n)), (own, own + rng.normal(size=n), np.arange(n)), (label, np.full(n, 0.5), np.arange(n)), (label, label % 7, np.arange(40, n))]
+    for length, at_once, most in ((9, 256, 3), (1, 1 << 16, 64), (n, 512, 2)):
+        monkeypatch.setattr(resampled, "_AT_ONCE", at_once)
+        monkeypatch.setattr(resampled, "_MOST", most)
+        blocks, rows = -(-n // length), []
+        for t, (y, x, keep) in enumerate(groups):
+            by_y = keep[np.lexsort((keep, y[keep]))]
+            by_x = np.argsort(x[by_y], kind="stable")
+            for kind, idx, v in ((0, by_y, y[by_y]), (1, by_x, x[by_y][by_x])):
+                at = np.arange(len(idx))
+                batch = pa.record_batch([np.full(len(idx), t, np.int32), np.full(len(idx), kind, np.int32), at // 100, idx.astype(np.int32), v], names=["t", "kind", "chunk", "idx", "v"])
+                rows += [r for b in resampled.pack_order([batch.slice(0, 250), batch.slice(250)]) for r in b.to_pylist()]
+        got = {}
+        for share in range(3):
+            made = resampled.correlations(n, length, blocks, "42|all", replicates, 3)([pa.RecordBatch.from_pylist([r | {"task": share} for r in rows])])
+            got |= {(r["t"], r["rep"]): r["ic"] for b in made for r in b.to_pylist()}
+        assert len(got) == len(groups) * replicates
+        for rep in range(replicates):
+            starts = draws.heads(f"42|all|{rep}|".encode(), 0, blocks - 1).astype(int) % (n - length + 1)
+            drawn = (starts[:, None] + np.arange(length)).reshape(-1)[:n]
+            for t, (y, x, keep) in enumerate(groups):
+                some = drawn[np.isin(drawn, keep)]
+                want = pd.Series(x[some]).rank().corr(pd.Series(y[some]).rank()) if t != 3 else None
+                assert got[t, rep] is None if want is None else abs(got[t, rep] - want) < 1e-12
+
+
+def test_compare_pairs_whole_job(spark, sf_dir):
+    """The registered query makes all replicates of the operator and has delta, q and significance; samples that a mask left out are no gaps; packed orders equal merged weights."""
+    from quillon.plans.catalog import ORACLES, QUERIES
+
+    rows = QUERIES["compare_pairs"](spark, sf_dir).collect()
+    assert "range(10000)" in ORACLES["compare_pairs"] and stats.REPLICATES == 10_000
+    assert len(rows) == 6 and all(set(r.asDict()) == {"treatment_a", "treatment_b", "delta", "lo", "hi", "p", "q", "significant"} for r in rows)
+    counts = [r["p"] * 10_001 / 2 for r in rows]
+    assert all(abs(c - round(c)) < 1e-2 for c in counts) and min(r["p"] for r in rows) < 2 / 21
+    signals = spark.range(0, 300, 1, 3).select(F.col("id").alias("sample_idx"), (F.col("id") * 7919 % 101).cast("double").alias("label"), F.explode(F.array(F.lit("x"), F.lit("y"))).alias("treatment"))
+    signals = signals.withColumn("pred", F.col("label") + F.col("sample_idx") * 31 % 17 * F.when(F.col("treatment") == "x", 9).otherwise(2))
+    want = stats.compare_pairs(signals, replicates=40).first()
+    assert stats.compare_pairs(signals.withColumn("sample_idx", F.col("sample_idx") * 3 + 5), replicates=40).first() == want
+    whole, stats.WHOLE = stats.WHOLE, 0
+    try:
+        merged = stats.compare_pairs(signals, replicates=40).first()
+    finally:
+        stats.WHOLE = whole
+    assert all(merged[c] == want[c] or abs(merged[c] - want[c]) < 1e-12 for c in ("delta", "lo", "hi", "p", "q")) and want["lo"] < want["hi"]
+
+
 def exchanges(df):
     """Runs a query; the rows that each exchange of the plan that ran has written."""
     df.collect()
